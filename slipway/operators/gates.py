@@ -122,6 +122,15 @@ def next_cursor(checks: DataFrame, cursor: int = 0) -> int:
     return max(cursor, int(row["m"])) if row and row["m"] is not None else cursor
 
 
+def next_batch(checks: DataFrame, cursor: int = 0, limit: int = 20) -> DataFrame:
+    """The next ``limit`` evaluations after the cursor, ascending.
+
+    ``orderBy + limit`` plans as a top-N: each task keeps ``limit`` rows, so
+    only ``limit`` rows per task cross the network.
+    """
+    return checks.where(F.col("id") > F.lit(cursor)).orderBy("id").limit(limit)
+
+
 def failures_since(checks: DataFrame, cursor: int = 0, limit: int = 20,
                    check_name: str | None = None, by: str = "asset") -> DataFrame:
     """Remediation requests when every failure counts, in batches.

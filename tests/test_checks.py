@@ -1,0 +1,84 @@
+import random
+
+from slipway import schemas
+from slipway.operators import checks as C
+from slipway.sources import from_rows
+
+
+def _as_dict(df):
+    return {r["check_name"]: (r["value"], r["passed"]) for r in df.collect()}
+
+
+def native(spark, rows):
+    return spark.createDataFrame(rows, "order_id bigint, customer_id bigint, total double")
+
+
+def test_native_suite_clean_and_corrupt(spark):
+    rows = [(1001 + i, 1, 10.0 + i) for i in range(10)]
+    assert _as_dict(C.run_checks(native(spark, rows), C.native_suite())) == {
+        "row_count_positive": (10, True), "no_null_order_id": (0, True),
+        "no_duplicate_order_id": (0, True), "all_totals_positive": (0, True)}
+    bad = rows + [rows[0]]  # the duplicate of order 1001
+    got = _as_dict(C.run_checks(native(spark, bad), C.native_suite()))
+    assert got["no_duplicate_order_id"] == (1, False)
+    assert got["row_count_positive"] == (11, True)
+
+
+def test_null_zero_negative_and_null_keys(spark):
+    rows = [(None, 1, 1.0), (None, 1, None), (1, 1, 0.0), (2, 1, -3.0), (3, 1, None)]
+    got = _as_dict(C.run_checks(native(spark, rows),
+                                C.native_suite() + [C.unique("order_id", name="u", ignore_nulls=True)]))
+    assert got["no_null_order_id"] == (2, False)
+    assert got["no_duplicate_order_id"] == (1, False)   # two NULL keys are one duplicate
+    assert got["u"] == (0, True)                         # generic unique skips NULL
+    assert got["all_totals_positive"] == (2, False)      # NULL total passes
+
+
+def test_empty_table(spark):
+    got = _as_dict(C.run_checks(native(spark, []), C.native_suite()))
+    assert got == {"row_count_positive": (0, False), "no_null_order_id": (0, True),
+                   "no_duplicate_order_id": (0, True), "all_totals_positive": (0, True)}
+
+
+def test_metric_names(spark):
+    r = {x["check_name"]: x["metric"] for x in C.run_checks(native(spark, [(1, 1, 1.0)]),
+                                                             C.native_suite()).collect()}
+    assert r == {"row_count_positive": "row_count", "no_null_order_id": "null_order_ids",
+                 "no_duplicate_order_id": "duplicate_order_ids",
+                 "all_totals_positive": "non_positive_total_rows"}
+
+
+def test_fused_equals_separate_random(spark):
+    rnd = random.Random(7)
+    suite = [C.row_count_positive(), C.unique("a"), C.unique("a", "b"), C.unique("b", ignore_nulls=True),
+             C.not_null("a"), C.not_null("a", "b"), C.positive("v")]
+    for trial in range(4):
+        n = rnd.choice([0, 1, 50, 300])
+        rows = [(rnd.choice([None, *range(8)]), rnd.choice([None, 1, 2]),
+                 rnd.choice([None, -1.0, 0.0, 2.5])) for _ in range(n)]
+        df = spark.createDataFrame(rows, "a bigint, b bigint, v double")
+        fused = _as_dict(C.run_checks(df, suite))
+        separate = _as_dict(C.run_each(df, suite))
+        assert fused == separate, (trial, n)
+        # brute force in Python
+        from collections import Counter
+        ca = Counter(r[0] for r in rows)
+        assert fused["no_duplicate_a"][0] == sum(1 for k, c in ca.items() if c > 1)
+        cb = Counter(r[1] for r in rows if r[1] is not None)
+        assert fused["no_duplicate_b"][0] == sum(1 for c in cb.values() if c > 1)
+        assert fused["all_vs_positive"][0] == sum(1 for r in rows if r[2] is not None and r[2] <= 0)
+        assert fused["no_null_a_b"][0] == sum(1 for r in rows if r[0] is None or r[1] is None)
+
+
+def test_observed_checks_match(spark, store):
+    df = native(spark, [(1, 1, 1.0), (None, 2, -1.0), (3, 3, None)])
+    w = store.write_version("t", df, C.native_suite())
+    assert w.row_count == 3
+    res = _as_dict(C.results_from_metrics(spark, C.native_suite(), w.metrics,
+                                          [C.run_checks(df, [C.unique("order_id")])]))
+    assert res == _as_dict(C.run_checks(df, C.native_suite()))
+
+
+def test_duplicate_keys(spark):
+    df = native(spark, [(1, 1, 1.0), (1, 1, 1.0), (2, 1, 1.0)])
+    assert [(r["order_id"], r["n"]) for r in C.duplicate_keys(df, "order_id").collect()] == [(1, 2)]
