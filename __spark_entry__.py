@@ -21,7 +21,10 @@ from slipway.operators import checks as C  # noqa: E402
 from slipway.operators import gates as G  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
+from slipway.plans import flow  # noqa: E402
 from slipway.sources import testdata as TD  # noqa: E402
+from slipway.store import Store  # noqa: E402
+from slipway.streaming import revert_on_failure  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "1998-01-01 00:00:00"
@@ -187,8 +190,115 @@ def q_append_sample(spark, sf_dir):
     return mart.unionByName(mart.orderBy("order_id").limit(1))
 
 
+# --- publish, swap, revert round trips (each in a fresh store) ------------------
+#
+# Each builds the marts from the whole generated tables into a new store
+# under the session's shared checkpoint folder, runs a flow, and returns
+# what green (or blue) serves afterwards. The oracle is the expected table.
+
+MART_CHECKS = {
+    "mart_orders": [C.not_null("order_id"), C.unique("order_id", ignore_nulls=True)],
+    "mart_customers": [C.not_null("customer_id"), C.unique("customer_id", ignore_nulls=True)],
+}
+
+
+def _marts(spark, sf_dir):
+    return M.build_marts(TD.raw_orders(spark, sf_dir), TD.raw_customers(spark, sf_dir))
+
+
+def _with_duplicate(df, key):
+    return df.unionByName(df.orderBy(key).limit(1))
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    store = Store.scratch(spark)
+    report = flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    assert report.clean, report
+    return store.read("green", "mart_orders")
+
+
+def q_snapshot_customers(spark, sf_dir):
+    store = Store.scratch(spark)
+    flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    return store.snapshot("green").read("mart_customers")
+
+
+def q_swap_roundtrip(spark, sf_dir):
+    store = Store.scratch(spark)
+    marts = _marts(spark, sf_dir)
+    flow.publish_run(store, marts, MART_CHECKS, strategy="swap")
+    store.build({"mart_orders": _with_duplicate(marts["mart_orders"], "order_id")}, env="blue")
+    store.swap(["mart_orders"])
+    snap_g, snap_b = store.snapshot("green"), store.snapshot("blue")
+    return (snap_g.read("mart_orders").select(F.lit("green").alias("env"), "*")
+            .unionByName(snap_b.read("mart_orders").select(F.lit("blue").alias("env"), "*")))
+
+
+def _corrupted_live(spark, sf_dir):
+    """Two clean publishes, then one live row appended to green twice over."""
+    store = Store.scratch(spark)
+    for _ in range(2):
+        flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    live = store.read("green", "mart_orders")
+    store.append("green", "mart_orders", live.orderBy("order_id").limit(1))
+    flow.check_live(store, "mart_orders", key="order_id")
+    return store
+
+
+def q_revert_roundtrip(spark, sf_dir):
+    store = _corrupted_live(spark, sf_dir)
+    done, _ = flow.remediate(store, cursor=0, check_name="no_duplicate_order_ids")
+    assert done == ["mart_orders"], done
+    return store.read("green", "mart_orders")
+
+
+def q_stream_revert(spark, sf_dir):
+    store = _corrupted_live(spark, sf_dir)
+    q = revert_on_failure(store, tables=["mart_orders"], check_name="no_duplicate_order_ids")
+    q.awaitTermination(600)
+    return store.read("green", "mart_orders")
+
+
+def q_blocked_promotion(spark, sf_dir):
+    store = Store.scratch(spark)
+    marts = _marts(spark, sf_dir)
+    flow.publish_run(store, marts, MART_CHECKS)
+    bad = dict(marts, mart_customers=_with_duplicate(marts["mart_customers"], "customer_id"))
+    report = flow.publish_run(store, bad, MART_CHECKS)
+    assert not report.clean and not report.promoted, report
+    return store.read("green", "mart_customers")
+
+
+def q_clone_env(spark, sf_dir):
+    store = Store.scratch(spark)
+    marts = _marts(spark, sf_dir)
+    flow.publish_run(store, marts, MART_CHECKS)
+    store.build({"blue_only": marts["mart_orders"]}, env="blue")
+    store.clone("green", "blue", drop_extra=True)
+    return store.state(env="blue").select("table_name", "action", "row_count")
+
+
+def q_native_land_promote(spark, sf_dir):
+    store = Store.scratch(spark)
+    good = native_orders(spark, sf_dir)
+    flow.land(store, "orders", good, C.native_suite())
+    assert flow.promote_if_passing(store, "orders", bootstrap=True) is not None
+    flow.land(store, "orders", _with_duplicate(good, "order_id"), C.native_suite())
+    assert flow.promote_if_passing(store, "orders") is None
+    return store.read("green", "orders")
+
+
+def q_native_check_results(spark, sf_dir):
+    store = Store.scratch(spark)
+    flow.land(store, "orders", native_orders(spark, sf_dir), C.native_suite())
+    return store.check_results().select("check_name", "metric", "value", "passed",
+                                        "severity", "blocking")
+
+
 def entry(spark: SparkSession) -> DataFrame:
-    return q_mart_orders(spark, SMOKE_DIR)
+    """Flagship: build both marts, check them, gate the run, promote, and
+    read what green serves."""
+    return q_publish_roundtrip(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -219,6 +329,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "list_clonable": q_list_clonable,
         "model_layer": q_model_layer,
         "append_sample": q_append_sample,
+        "publish_roundtrip": q_publish_roundtrip,
+        "snapshot_customers": q_snapshot_customers,
+        "swap_roundtrip": q_swap_roundtrip,
+        "revert_roundtrip": q_revert_roundtrip,
+        "stream_revert": q_stream_revert,
+        "blocked_promotion": q_blocked_promotion,
+        "clone_env": q_clone_env,
+        "native_land_promote": q_native_land_promote,
+        "native_check_results": q_native_check_results,
     }
 
 
@@ -363,4 +482,22 @@ def oracle_sql() -> dict[str, str]:
         "append_sample": w("mart_orders") + """
             SELECT * FROM mart_orders
             UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1)""",
+        "publish_roundtrip": _view("mart_orders"),
+        "snapshot_customers": _view("mart_customers"),
+        "swap_roundtrip": w("mart_orders") + """
+            SELECT 'green' AS env, * FROM (
+                SELECT * FROM mart_orders
+                UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1))
+            UNION ALL
+            SELECT 'blue' AS env, * FROM mart_orders""",
+        "revert_roundtrip": _view("mart_orders"),
+        "stream_revert": _view("mart_orders"),
+        "blocked_promotion": _view("mart_customers"),
+        "clone_env": w("mart_orders", "mart_customers") + """
+            SELECT 'mart_customers' AS table_name, 'clone' AS action,
+                   count(*) AS row_count FROM mart_customers
+            UNION ALL
+            SELECT 'mart_orders', 'clone', count(*) FROM mart_orders""",
+        "native_land_promote": NATIVE_SQL,
+        "native_check_results": _check_sql(NATIVE_SQL, C.native_suite()),
     }
