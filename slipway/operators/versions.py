@@ -13,12 +13,23 @@ costs no more than any other.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATE_COLS = ("seq", "ts", "action", "paths", "row_count", "run_key")
 
+# Fixed value: the name pattern of snapshot tables left out of a clone.
+SNAPSHOT_PATTERN = "%__snapshot"
+
+
+def like(value: str, pattern: str) -> bool:
+    """SQL ``LIKE`` (``%`` any run, ``_`` any one character) for names the
+    driver already holds; same answer as ``Column.like``."""
+    rx = "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in pattern)
+    return re.fullmatch(rx, value, flags=re.S) is not None
+
 
 def latest_by(df: DataFrame, keys, order: str, cols) -> DataFrame:
     """Latest row per key by ``order`` (ties impossible when ``order`` is
@@ -56,7 +67,7 @@ def as_path(paths_col="paths") -> Column:
 
 
 def clonable(state: DataFrame, env: str = "green",
-             snapshot_pattern: str = "%__snapshot") -> DataFrame:
+             snapshot_pattern: str = SNAPSHOT_PATTERN) -> DataFrame:
     """Tables of ``env`` to copy, without snapshot tables.
 
     The pattern is a SQL ``LIKE``: ``_`` is a wildcard, so a name such as
