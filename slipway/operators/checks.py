@@ -27,9 +27,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slipway.functions import all_not_null, any_null
 
+RESULT_SCHEMA = T.StructType([
+    T.StructField("check_name", T.StringType()), T.StructField("metric", T.StringType()),
+    T.StructField("value", T.LongType()), T.StructField("passed", T.BooleanType()),
+    T.StructField("severity", T.StringType()), T.StructField("blocking", T.BooleanType()),
+])
+
 ROW_COUNT = "row_count"
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -200,9 +207,8 @@ def results_from_metrics(spark, checks: Sequence[Check], metrics: dict,
             continue
         v = int(metrics.get(f"m{i}") or 0)
         rows.append((c.name, c.metric, v, c.passes_value(v), c.severity, c.blocking))
-    schema = ("check_name string, metric string, value bigint, passed boolean, "
-              "severity string, blocking boolean")
-    out = spark.createDataFrame(rows, schema)
+    from slipway.sources.seeds import literal_frame
+    out = literal_frame(spark, rows, RESULT_SCHEMA)
     for e in extra:
         out = out.unionByName(e)
     return out

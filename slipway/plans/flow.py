@@ -16,7 +16,9 @@ Only run-level metadata (one row per model or check) reaches the driver.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
+from slipway.sources.seeds import literal_frame
 from slipway.store import NothingToRevert, Store
 
 PROJECT = "slipway"
@@ -71,7 +74,7 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
                 checks: Mapping[str, Sequence[C.Check]] | None = None,
                 marts: Sequence[str] | None = None, *, strategy: str = "promote",
                 force_skip: bool = False, run_id: int | None = None,
-                drop_extra: bool = True) -> RunReport:
+                drop_extra: bool = True, threads: int = 4) -> RunReport:
     """E1. ``models``: name -> DataFrame (or a function building it).
 
     ``marts`` are the models promoted (default: names starting ``mart_``);
@@ -83,33 +86,44 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     run_id = run_id if run_id is not None else (store._seqs() or [0])[-1] + 1
     store.clone("green", "blue", drop_extra=drop_extra)
 
-    nodes = []
+    nodes: list[tuple] = []
     written = {}
     errors: dict[str, str] = {}
-    for name, model in models.items():
+    lock = threading.Lock()
+
+    def build_one(name, model):
         folder = "marts" if (marts is None and name.startswith("mart_")) or \
             (marts is not None and name in marts) else "staging"
         fqn = [PROJECT, folder, name]
         try:
             df = model() if callable(model) else model
-            written[name] = store.write_version(name, df, checks.get(name, ()))
-            nodes.append((run_id, f"model.{PROJECT}.{name}", "model", name, fqn, "success"))
+            w = store.write_version(name, df, checks.get(name, ()))
+            status = "success"
         except Exception as exc:  # a failed model fails the run, not the process
-            nodes.append((run_id, f"model.{PROJECT}.{name}", "model", name, fqn, "error"))
+            w, status = None, "error"
             errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+        with lock:
+            nodes.append((run_id, f"model.{PROJECT}.{name}", "model", name, fqn, status))
+            if w is not None:
+                written[name] = w
+
+    # Independent models are separate Spark jobs; a few driver threads let
+    # them share the executors instead of queueing (the reference runs 4).
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        list(pool.map(lambda kv: build_one(*kv), models.items()))
     if written:
         store.commit([{"env": "blue", "table_name": w.table_name, "action": "build",
                        "paths": w.paths, "row_count": w.row_count,
                        "run_key": f"run-{run_id}"} for w in written.values()])
-    for name, w in written.items():
+    for name in sorted(written):
         if not checks.get(name):
             continue
-        for r in evaluate(store, "blue", name, checks[name], w).collect():
+        for r in evaluate(store, "blue", name, checks[name], written[name]).collect():
             nodes.append((run_id, f"test.{PROJECT}.{r['check_name']}.{name}", "test",
                           r["check_name"], [PROJECT, "tests", name],
                           "pass" if r["passed"] else ("fail" if r["blocking"] else "warn")))
 
-    results = spark.createDataFrame(nodes, schemas.RUN_RESULTS)
+    results = literal_frame(spark, nodes, schemas.RUN_RESULTS)
     summary = G.run_summary(results).first()
     clean = bool(summary and summary["clean"])
     failed = G.failed_nodes(results).first()
@@ -159,11 +173,9 @@ def check_live(store: Store, table: str, key: str = "order_id", env: str = "gree
     """
     chk = C.unique(key, name=check_name or f"no_duplicate_{key}s")
     if store.version(env, table) is None:
-        results = C.results_from_metrics(store.spark, [], {}, [
-            store.spark.createDataFrame(
-                [(chk.name, chk.metric, 0, True, chk.severity, chk.blocking)],
-                "check_name string, metric string, value bigint, passed boolean, "
-                "severity string, blocking boolean")])
+        results = literal_frame(store.spark,
+                                [(chk.name, chk.metric, 0, True, chk.severity, chk.blocking)],
+                                C.RESULT_SCHEMA)
         meta = {"missing": "true"}
     else:
         results = C.run_checks(store.read(env, table).select(key), [chk])

@@ -1,2 +1,2 @@
-from slipway.sources.seeds import from_rows, read_seed, read_table  # noqa: F401
+from slipway.sources.seeds import from_rows, literal_frame, read_seed, read_table  # noqa: F401
 from slipway.sources import testdata  # noqa: F401

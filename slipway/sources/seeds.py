@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,3 +30,31 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple],
               schema: T.StructType) -> DataFrame:
     """Literal rows, for fixtures only; real inputs are files."""
     return spark.createDataFrame(list(rows), schema)
+
+
+def _literal(value, dtype: T.DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(dtype, T.MapType):
+        kv = [c for k, v in value.items()
+              for c in (_literal(k, dtype.keyType), _literal(v, dtype.valueType))]
+        return F.create_map(*kv).cast(dtype)
+    if isinstance(value, dt.datetime):
+        # through text, so no time zone is applied on the way
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def literal_frame(spark: SparkSession, rows: Sequence[Sequence],
+                  schema: T.StructType) -> DataFrame:
+    """A small DataFrame of driver-held rows (log entries, check results,
+    run results) built from literals, so no Python worker is involved.
+    For metadata only: every value becomes part of the plan."""
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[_literal(v, f.dataType).alias(f.name)
+                          for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
