@@ -22,6 +22,7 @@ from slipway.operators import gates as G  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
 from slipway.plans import flow  # noqa: E402
+from slipway.plans import sql_models  # noqa: E402
 from slipway.sources import testdata as TD  # noqa: E402
 from slipway.store import Store  # noqa: E402
 from slipway.streaming import revert_on_failure  # noqa: E402
@@ -57,6 +58,19 @@ def q_mart_customers(spark, sf_dir):
     return M.mart_customers(c, o)
 
 
+def _sql_marts(spark, sf_dir):
+    return sql_models.build_marts_sql(spark, TD.raw_orders(spark, sf_dir),
+                                      TD.raw_customers(spark, sf_dir))
+
+
+def q_mart_orders_sql(spark, sf_dir):
+    return _sql_marts(spark, sf_dir)["mart_orders"]
+
+
+def q_mart_customers_sql(spark, sf_dir):
+    return _sql_marts(spark, sf_dir)["mart_customers"]
+
+
 # --- checks -------------------------------------------------------------------
 
 def native_orders(spark, sf_dir):
@@ -218,9 +232,12 @@ def q_publish_roundtrip(spark, sf_dir):
 
 
 def q_snapshot_customers(spark, sf_dir):
+    """Publish, then serve green as SQL views from one snapshot."""
     store = Store.scratch(spark)
     flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
-    return store.snapshot("green").read("mart_customers")
+    prefix = f"green_{store.root.rsplit('/', 1)[-1][:8]}_"
+    store.snapshot("green").register(prefix)
+    return spark.sql(f"SELECT * FROM {prefix}mart_customers")
 
 
 def q_swap_roundtrip(spark, sf_dir):
@@ -307,6 +324,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_customers": q_stg_customers,
         "mart_orders": q_mart_orders,
         "mart_customers": q_mart_customers,
+        "mart_orders_sql": q_mart_orders_sql,
+        "mart_customers_sql": q_mart_customers_sql,
         "check_row_count": q_check_row_count,
         "check_not_null": q_check_not_null,
         "check_duplicates": q_check_duplicates,
@@ -411,6 +430,8 @@ def oracle_sql() -> dict[str, str]:
         "stg_customers": _view("stg_customers"),
         "mart_orders": _view("mart_orders"),
         "mart_customers": _view("mart_customers"),
+        "mart_orders_sql": _view("mart_orders"),
+        "mart_customers_sql": _view("mart_customers"),
         "check_row_count": _check_sql(NATIVE_SQL, [C.row_count_positive()]),
         "check_not_null": _check_sql(NATIVE_SQL, [C.not_null("order_id")]),
         "check_duplicates": _check_sql("SELECT * FROM lineitem", [C.unique("l_orderkey")]),

@@ -252,3 +252,21 @@ def test_revert_to_last_publish_undoes_only_append(spark, store):
     assert ids(store.read("green", "t")) == [2]
     store.revert("t")
     assert ids(store.read("green", "t")) == [1]
+
+
+def test_log_checkpoint_gives_same_state(spark):
+    s = Store.scratch(spark)
+    s.checkpoint_every = 3
+    for i in range(7):
+        s.build({f"t{i % 2}": df_of(spark, [i])}, env="green")
+    s.drop("green", "t0")
+    assert s._checkpoints() == [3, 6]
+    fresh = Store(spark, s.root)                       # a reader without the cache
+    assert fresh.versions("green") == s.versions("green")
+    assert set(fresh.versions("green")) == {"t1"}
+    assert ids(fresh.read("green", "t1")) == [5]
+    full = {(r["env"], r["table_name"], r["seq"]) for r in
+            __import__("slipway.operators.versions", fromlist=["resolve"]).resolve(fresh.log()).collect()}
+    assert full == {(r["env"], r["table_name"], r["seq"]) for r in fresh.state().collect()}
+    first = fresh.history("green", "t0").agg({"ts": "min"}).first()[0]
+    assert ids(fresh.read("green", "t0", as_of=first)) == [0]   # history is still there
