@@ -269,6 +269,34 @@ def q_revert_roundtrip(spark, sf_dir):
     return store.read("green", "mart_orders")
 
 
+def q_revert_by_time(spark, sf_dir):
+    """A clean publish, then two bad ones forced through; revert by time to
+    the clean one (one level back would still be bad)."""
+    store = Store.scratch(spark)
+    marts = _marts(spark, sf_dir)
+    flow.publish_run(store, marts, MART_CHECKS)
+    good = store.version("green", "mart_orders")
+    bad = _with_duplicate(marts["mart_orders"], "order_id")
+    for _ in range(2):
+        store.build({"mart_orders": bad}, env="blue")
+        store.promote(["mart_orders"])
+    store.revert("mart_orders", as_of=good.ts)
+    return store.read("green", "mart_orders")
+
+
+def q_remediate_batch(spark, sf_dir):
+    """Live corruption found by the check twice; in batch mode every failed
+    evaluation in the next 20 fires its own revert, and repeating a revert
+    restores the same state. A second pass over the same batch does nothing."""
+    store = _corrupted_live(spark, sf_dir)
+    flow.check_live(store, "mart_orders", key="order_id")   # a second failing evaluation
+    done, cursor = flow.remediate(store, cursor=0, mode="all", limit=20)
+    assert done == ["mart_orders", "mart_orders"], done
+    again, _ = flow.remediate(store, cursor=0, mode="all", limit=20)
+    assert again == [], again
+    return store.read("green", "mart_orders")
+
+
 def q_stream_revert(spark, sf_dir):
     store = _corrupted_live(spark, sf_dir)
     q = revert_on_failure(store, tables=["mart_orders"], check_name="no_duplicate_order_ids")
@@ -353,6 +381,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "swap_roundtrip": q_swap_roundtrip,
         "revert_roundtrip": q_revert_roundtrip,
         "stream_revert": q_stream_revert,
+        "revert_by_time": q_revert_by_time,
+        "remediate_batch": q_remediate_batch,
         "blocked_promotion": q_blocked_promotion,
         "clone_env": q_clone_env,
         "native_land_promote": q_native_land_promote,
@@ -513,6 +543,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'blue' AS env, * FROM mart_orders""",
         "revert_roundtrip": _view("mart_orders"),
         "stream_revert": _view("mart_orders"),
+        "revert_by_time": _view("mart_orders"),
+        "remediate_batch": _view("mart_orders"),
         "blocked_promotion": _view("mart_customers"),
         "clone_env": w("mart_orders", "mart_customers") + """
             SELECT 'mart_customers' AS table_name, 'clone' AS action,

@@ -197,19 +197,23 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
     """
     results = store.check_results().where(F.col("asset").startswith(f"{env}."))
     if mode == "latest":
-        reqs = G.failures_latest(results, cursor, check_name).collect()
+        reqs = (G.failures_latest(results, cursor, check_name)
+                .join(results.select("id", F.col("metadata")["log_seq"].alias("log_seq")), "id")
+                .collect())
         new_cursor = G.next_cursor(results, cursor)
     else:
         batch = G.next_batch(results, cursor, limit).collect()
         new_cursor = batch[-1]["id"] if batch else cursor
-        reqs = [{"asset": r["asset"], "id": r["id"], "run_key": f"revert-{r['id']}"}
+        reqs = [{"asset": r["asset"], "id": r["id"], "run_key": f"revert-{r['id']}",
+                 "log_seq": (r["metadata"] or {}).get("log_seq")}
                 for r in batch if not r["passed"]
                 and (check_name is None or r["check_name"] == check_name)]
     done = []
     for r in sorted(reqs, key=lambda r: r["id"]):
         table = r["asset"].split(".", 1)[1]
         try:
-            if store.revert(table, env, run_key=r["run_key"], to=to) is not None:
+            if store.revert(table, env, run_key=r["run_key"], to=to,
+                            after_seq=int(r["log_seq"] or 0)) is not None:
                 done.append(table)
         except NothingToRevert:
             pass

@@ -37,20 +37,22 @@ def failed_evaluations(store: Store, env: str = "green",
         cond = cond & F.col("asset").isin([f"{env}.{t}" for t in tables])
     if check_name is not None:
         cond = cond & (F.col("check_name") == check_name)
-    return src.where(cond).select("id", "asset", "check_name")
+    return src.where(cond).select("id", "asset", "check_name",
+                                  F.col("metadata")["log_seq"].cast("bigint").alias("log_seq"))
 
 
 def revert_batch(store: Store, env: str = "green", to: str = "previous"):
     """``foreachBatch`` handler: one revert per table per batch."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        latest = (batch.groupBy("asset").agg(F.max("id").alias("id"))
-                  .select("asset", "id", run_key("id").alias("run_key")))
-        done = store.log().where(F.col("run_key").isNotNull()).select("run_key")
-        for r in latest.join(done, "run_key", "left_anti").collect():
+        latest = (batch.groupBy("asset")
+                  .agg(F.max_by("log_seq", "id").alias("log_seq"), F.max("id").alias("id"))
+                  .select("asset", "id", "log_seq", run_key("id").alias("run_key")))
+        for r in latest.collect():                       # one row per table
             table = r["asset"].split(".", 1)[1]
             try:
-                store.revert(table, env, run_key=r["run_key"], to=to)
+                store.revert(table, env, run_key=r["run_key"], to=to,
+                             after_seq=int(r["log_seq"] or 0))
             except NothingToRevert:
                 pass
 

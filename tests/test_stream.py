@@ -39,7 +39,9 @@ def test_replayed_batch_does_not_revert_twice(spark, store):
     from slipway.streaming import revert_batch
     store.build({"t": df_of(spark, [1])}); store.promote(["t"])
     store.build({"t": df_of(spark, [2, 2])}); store.promote(["t"])
-    rec = flow.check_live(store, "t").select("id", "asset", "check_name")
+    from pyspark.sql import functions as F
+    rec = flow.check_live(store, "t").select(
+        "id", "asset", "check_name", F.col("metadata")["log_seq"].cast("bigint").alias("log_seq"))
     handle = revert_batch(store)
     handle(rec, 0)
     handle(rec, 0)                                              # replay of the same epoch
