@@ -115,13 +115,17 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
         store.commit([{"env": "blue", "table_name": w.table_name, "action": "build",
                        "paths": w.paths, "row_count": w.row_count,
                        "run_key": f"run-{run_id}"} for w in written.values()])
-    for name in sorted(written):
-        if not checks.get(name):
-            continue
-        for r in evaluate(store, "blue", name, checks[name], written[name]).collect():
-            nodes.append((run_id, f"test.{PROJECT}.{r['check_name']}.{name}", "test",
-                          r["check_name"], [PROJECT, "tests", name],
-                          "pass" if r["passed"] else ("fail" if r["blocking"] else "warn")))
+
+    def test_one(name):
+        recorded = evaluate(store, "blue", name, checks[name], written[name]).collect()
+        return [(run_id, f"test.{PROJECT}.{r['check_name']}.{name}", "test",
+                 r["check_name"], [PROJECT, "tests", name],
+                 "pass" if r["passed"] else ("fail" if r["blocking"] else "warn"))
+                for r in recorded]
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for tests in pool.map(test_one, [n for n in sorted(written) if checks.get(n)]):
+            nodes.extend(tests)
 
     results = literal_frame(spark, nodes, schemas.RUN_RESULTS)
     summary = G.run_summary(results).first()
