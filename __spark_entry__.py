@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from slipway.operators import checks as C  # noqa: E402
+from slipway.schemas import NATIVE_ORDERS  # noqa: E402
 from slipway.operators import gates as G  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
@@ -326,9 +327,10 @@ def q_clone_env(spark, sf_dir):
 def q_native_land_promote(spark, sf_dir):
     store = Store.scratch(spark)
     good = native_orders(spark, sf_dir)
-    flow.land(store, "orders", good, C.native_suite())
+    flow.land(store, "orders", good, C.native_suite(), schema=NATIVE_ORDERS)
     assert flow.promote_if_passing(store, "orders", bootstrap=True) is not None
-    flow.land(store, "orders", _with_duplicate(good, "order_id"), C.native_suite())
+    flow.land(store, "orders", _with_duplicate(good, "order_id"), C.native_suite(),
+              schema=NATIVE_ORDERS)
     assert flow.promote_if_passing(store, "orders") is None
     return store.read("green", "orders")
 

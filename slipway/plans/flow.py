@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
-from slipway.sources.seeds import literal_frame
+from slipway.sources.seeds import conform, literal_frame
 from slipway.store import NothingToRevert, Store
 
 PROJECT = "slipway"
@@ -149,8 +149,11 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
 
 
 def land(store: Store, table: str, df: DataFrame, checks: Sequence[C.Check],
-         env: str = "blue") -> DataFrame:
-    """E2 first half: write a table into ``env`` and record its checks."""
+         env: str = "blue", schema=None) -> DataFrame:
+    """E2 first half: write a table into ``env`` (conformed to ``schema``
+    when given) and record its checks."""
+    if schema is not None:
+        df = conform(df, schema)
     written = store.build({table: df}, env=env, checks={table: checks})[table]
     return evaluate(store, env, table, checks, written)
 
@@ -197,8 +200,10 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
     ``mode='latest'`` acts on each check's latest evaluation only (G5);
     ``mode='all'`` scans up to ``limit`` evaluations per asset (G6). Each
     revert carries ``revert-<id>`` so a repeated call does nothing (G7).
+    The cursor may be the stored text form; none counts as 0 (F12, P13).
     Returns (reverted tables, next cursor).
     """
+    cursor = int(cursor) if cursor not in (None, "") else 0
     results = store.check_results().where(F.col("asset").startswith(f"{env}."))
     if mode == "latest":
         reqs = (G.failures_latest(results, cursor, check_name)

@@ -1,2 +1,8 @@
-from slipway.sources.seeds import from_rows, literal_frame, read_seed, read_table  # noqa: F401
+from slipway.sources.seeds import (  # noqa: F401
+    conform,
+    from_rows,
+    literal_frame,
+    read_seed,
+    read_table,
+)
 from slipway.sources import testdata  # noqa: F401

@@ -26,6 +26,16 @@ def read_table(spark: SparkSession, path: str,
     return reader.parquet(path)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select ``schema``'s columns by name and cast them to its types.
+
+    A missing column raises at analysis; a value that does not fit raises at
+    run time (ANSI casts), so a land step never writes a silently changed
+    table.
+    """
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def from_rows(spark: SparkSession, rows: Sequence[tuple],
               schema: T.StructType) -> DataFrame:
     """Literal rows, for fixtures only; real inputs are files."""

@@ -99,3 +99,27 @@ def test_truthy_flags(spark):
     from slipway.functions import is_truthy
     df = spark.createDataFrame([("TRUE",), (" yes ",), ("1",), ("false",), (None,), ("no",)], "f string")
     assert [r[0] for r in df.select(is_truthy("f")).collect()] == [True, True, True, False, False, False]
+
+
+def test_sql_models_equal_dataframe_models(spark, seeds):
+    from slipway.plans.sql_models import build_marts_sql
+    ro, rc = seeds
+    a = M.build_marts(ro, rc)
+    b = build_marts_sql(spark, ro, rc)
+    for name in ("mart_orders", "mart_customers"):
+        assert a[name].schema == b[name].schema, name
+        assert sorted(a[name].collect()) == sorted(b[name].collect()), name
+
+
+def test_conform_types_and_rejects(spark):
+    import pytest
+    from slipway.sources import conform
+    df = spark.createDataFrame([("1001", "1", "49.5", "2026-05-01 09:14:00", "x")],
+                               "order_id string, customer_id string, total string, ordered_at string, extra string")
+    out = conform(df, schemas.NATIVE_ORDERS)
+    assert out.dtypes == [("order_id", "bigint"), ("customer_id", "bigint"), ("total", "double"),
+                          ("ordered_at", "timestamp_ntz")]
+    bad = spark.createDataFrame([("x", "1", "1", "2026-05-01 00:00:00")],
+                                "order_id string, customer_id string, total string, ordered_at string")
+    with pytest.raises(Exception):
+        conform(bad, schemas.NATIVE_ORDERS).collect()
