@@ -232,6 +232,16 @@ def q_publish_roundtrip(spark, sf_dir):
     return store.read("green", "mart_orders")
 
 
+def q_publish_partitioned(spark, sf_dir):
+    """The same publish with ``mart_orders`` laid out by day, so readers
+    filtering on ``ordered_date`` skip whole folders."""
+    store = Store.scratch(spark)
+    report = flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS,
+                              layouts={"mart_orders": ["ordered_date"]})
+    assert report.clean, report
+    return store.read("green", "mart_orders")
+
+
 def q_snapshot_customers(spark, sf_dir):
     """Publish, then serve green as SQL views from one snapshot."""
     store = Store.scratch(spark)
@@ -379,6 +389,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_layer": q_model_layer,
         "append_sample": q_append_sample,
         "publish_roundtrip": q_publish_roundtrip,
+        "publish_partitioned": q_publish_partitioned,
         "snapshot_customers": q_snapshot_customers,
         "swap_roundtrip": q_swap_roundtrip,
         "revert_roundtrip": q_revert_roundtrip,
@@ -536,6 +547,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM mart_orders
             UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1)""",
         "publish_roundtrip": _view("mart_orders"),
+        "publish_partitioned": _view("mart_orders"),
         "snapshot_customers": _view("mart_customers"),
         "swap_roundtrip": w("mart_orders") + """
             SELECT 'green' AS env, * FROM (

@@ -62,7 +62,7 @@ def evaluate(store: Store, env: str, table: str, checks: Sequence[C.Check],
         extra = []
         if uniq:
             cols = sorted({k for c in uniq for k in c.columns})
-            extra.append(C.run_checks(store.read_paths(written.paths).select(*cols), uniq))
+            extra.append(C.run_checks(store.read_version(written).select(*cols), uniq))
         results = C.results_from_metrics(store.spark, checks, written.metrics, extra)
     else:
         results = C.run_checks(store.read(env, table), checks)
@@ -74,10 +74,12 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
                 checks: Mapping[str, Sequence[C.Check]] | None = None,
                 marts: Sequence[str] | None = None, *, strategy: str = "promote",
                 force_skip: bool = False, run_id: int | None = None,
-                drop_extra: bool = True, threads: int = 4) -> RunReport:
+                drop_extra: bool = True, threads: int = 4,
+                layouts: Mapping[str, Sequence[str]] | None = None) -> RunReport:
     """E1. ``models``: name -> DataFrame (or a function building it).
 
     ``marts`` are the models promoted (default: names starting ``mart_``);
+    ``layouts`` maps a model to the columns its files are partitioned by;
     ``strategy`` is ``promote`` (blue keeps the build) or ``swap`` (blue
     gets the old green). ``force_skip`` withholds promotion of a clean run.
     """
@@ -97,7 +99,7 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
         fqn = [PROJECT, folder, name]
         try:
             df = model() if callable(model) else model
-            w = store.write_version(name, df, checks.get(name, ()))
+            w = store.write_version(name, df, checks.get(name, ()), (layouts or {}).get(name))
             status = "success"
         except Exception as exc:  # a failed model fails the run, not the process
             w, status = None, "error"
@@ -114,7 +116,8 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     if written:
         store.commit([{"env": "blue", "table_name": w.table_name, "action": "build",
                        "paths": w.paths, "row_count": w.row_count,
-                       "run_key": f"run-{run_id}"} for w in written.values()])
+                       "run_key": f"run-{run_id}", "schema_json": w.schema_json}
+                      for w in written.values()])
 
     def test_one(name):
         recorded = evaluate(store, "blue", name, checks[name], written[name]).collect()

@@ -57,6 +57,9 @@ LOG_FIELDS = [
     T.StructField("paths", T.ArrayType(T.StringType())),
     T.StructField("row_count", T.LongType()),
     T.StructField("run_key", T.StringType()),
+    # JSON of the table's schema, so reads need no inference and partition
+    # columns come back with their own types (NULL in older logs).
+    T.StructField("schema_json", T.StringType()),
 ]
 LOG_FILE = T.StructType(LOG_FIELDS)
 LOG = T.StructType(LOG_FIELDS + [T.StructField("seq", T.LongType())])

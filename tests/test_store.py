@@ -270,3 +270,20 @@ def test_log_checkpoint_gives_same_state(spark):
     assert full == {(r["env"], r["table_name"], r["seq"]) for r in fresh.state().collect()}
     first = fresh.history("green", "t0").agg({"ts": "min"}).first()[0]
     assert ids(fresh.read("green", "t0", as_of=first)) == [0]   # history is still there
+
+
+def test_partitioned_version_prunes_and_keeps_types(spark, store, seeds):
+    from pyspark.sql import functions as F
+    marts = marts_of(seeds)
+    r = flow.publish_run(store, marts, layouts={"mart_orders": ["ordered_date"]})
+    assert r.clean
+    live = store.read("green", "mart_orders")
+    assert live.schema == marts["mart_orders"].schema           # same columns, order, types
+    assert sorted(live.collect()) == sorted(marts["mart_orders"].collect())
+    day = live.where(F.col("ordered_date") == F.lit("2026-05-03 00:00:00").cast("timestamp_ntz"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ordered_date" in plan
+    assert day.count() == 2
+    # appends keep the live table's column order even if given another
+    store.append("green", "mart_orders", live.limit(1).select(*reversed(live.columns)))
+    assert store.read("green", "mart_orders").count() == 11
