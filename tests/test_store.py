@@ -287,3 +287,21 @@ def test_partitioned_version_prunes_and_keeps_types(spark, store, seeds):
     # appends keep the live table's column order even if given another
     store.append("green", "mart_orders", live.limit(1).select(*reversed(live.columns)))
     assert store.read("green", "mart_orders").count() == 11
+
+
+def test_empty_run_promotes_nothing(spark, store, seeds):
+    assert flow.publish_run(store, marts_of(seeds)).clean
+    before = store.versions("green")
+    r = flow.publish_run(store, {})                 # no node results at all
+    assert not r.clean and r.promoted == []
+    assert store.versions("green") == before
+
+
+def test_text_cursor_and_nothing_new(spark, store):
+    store.build({"t": df_of(spark, [1])}); store.promote(["t"])
+    store.build({"t": df_of(spark, [2, 2])}); store.promote(["t"])
+    rec = flow.check_live(store, "t").collect()[0]
+    done, cur = flow.remediate(store, cursor=str(rec["id"]))   # stored text cursor
+    assert done == [] and cur == rec["id"]
+    done, cur = flow.remediate(store, cursor="")               # no cursor = 0
+    assert done == ["t"]
