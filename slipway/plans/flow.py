@@ -85,7 +85,7 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     """
     checks = checks or {}
     spark = store.spark
-    run_id = run_id if run_id is not None else (store._seqs() or [0])[-1] + 1
+    run_id = run_id if run_id is not None else store.top_seq() + 1
     store.clone("green", "blue", drop_extra=drop_extra)
 
     nodes: list[tuple] = []
