@@ -105,16 +105,17 @@ def gate_for(checks: DataFrame, asset: str, by: str = "asset") -> bool:
 
 
 def failures_latest(checks: DataFrame, cursor: int = 0, check_name: str | None = None,
-                    keys=("asset", "check_name")) -> DataFrame:
+                    keys=("asset", "check_name"), carry=()) -> DataFrame:
     """Remediation requests when only the latest evaluation counts.
 
     For each check, its latest evaluation is a request when it is newer
     than the cursor and failed. The next cursor is the highest id seen.
+    ``carry`` names more columns of the latest evaluation to return.
     """
     src = checks if check_name is None else checks.where(F.col("check_name") == check_name)
-    latest = latest_checks(src.select(*keys, "id", "passed"), keys)
+    latest = latest_checks(src.select(*keys, "id", "passed", *carry), keys)
     return (latest.where((F.col("id") > F.lit(cursor)) & ~F.col("passed"))
-            .select(*keys, "id", run_key("id").alias("run_key")))
+            .select(*keys, "id", run_key("id").alias("run_key"), *carry))
 
 
 def next_cursor(checks: DataFrame, cursor: int = 0) -> int:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
+from slipway.operators.versions import freshness
 from slipway.sources.seeds import conform, literal_frame
 from slipway.store import NothingToRevert, Store
 
@@ -168,7 +169,6 @@ def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "
     ``bootstrap`` allows the first publish, when there is no destination."""
     if not G.gate_for(store.check_results(), asset_name(src, table)):
         return None
-    from slipway.operators.versions import freshness
     f = freshness(store.history(table=table), src, dst).first()
     if f is None or not (f["fresh"] or (bootstrap and f["bootstrap"])):
         return None
@@ -201,17 +201,18 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
     """Turn failed evaluations after ``cursor`` into reverts.
 
     ``mode='latest'`` acts on each check's latest evaluation only (G5);
-    ``mode='all'`` scans up to ``limit`` evaluations per asset (G6). Each
-    revert carries ``revert-<id>`` so a repeated call does nothing (G7).
+    ``mode='all'`` scans the next ``limit`` evaluations after the cursor in
+    id order and acts on every failure among them; the next cursor is the
+    last id scanned (G6). Each revert carries ``revert-<id>`` so a repeated
+    call does nothing (G7).
     The cursor may be the stored text form; none counts as 0 (F12, P13).
     Returns (reverted tables, next cursor).
     """
     cursor = int(cursor) if cursor not in (None, "") else 0
     results = store.check_results().where(F.col("asset").startswith(f"{env}."))
     if mode == "latest":
-        reqs = (G.failures_latest(results, cursor, check_name)
-                .join(results.select("id", F.col("metadata")["log_seq"].alias("log_seq")), "id")
-                .collect())
+        with_pos = results.withColumn("log_seq", F.col("metadata")["log_seq"])
+        reqs = G.failures_latest(with_pos, cursor, check_name, carry=("log_seq",)).collect()
         new_cursor = G.next_cursor(results, cursor)
     else:
         batch = G.next_batch(results, cursor, limit).collect()
