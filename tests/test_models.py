@@ -123,3 +123,11 @@ def test_conform_types_and_rejects(spark):
                                 "order_id string, customer_id string, total string, ordered_at string")
     with pytest.raises(Exception):
         conform(bad, schemas.NATIVE_ORDERS).collect()
+
+
+def test_schema_name_and_cursor_value(spark):
+    from slipway.functions import cursor_value, schema_name
+    df = spark.createDataFrame([(" blue ", "12"), (None, None), ("green", "")], "s string, c string")
+    rows = df.select(schema_name("s", "analytics").alias("n"),
+                     cursor_value(F.when(F.col("c") != "", F.col("c"))).alias("k")).collect()
+    assert [(r["n"], r["k"]) for r in rows] == [("blue", 12), ("analytics", 0), ("green", 0)]
