@@ -30,12 +30,23 @@ def to_ntz(col) -> Column:
     return _c(col).cast("timestamp_ntz")
 
 
+# Units whose boundary is a calendar date.
+_DATE_UNITS = ("year", "yyyy", "yy", "quarter", "month", "mon", "mm", "week")
+
+
 def trunc_ntz(unit: str, col) -> Column:
     """``date_trunc(unit, ts)`` keeping a zone-less timestamp (F2).
 
-    ``date_trunc`` returns a zoned timestamp; casting back to NTZ under the
-    same session zone gives the wall-clock boundary.
+    Day and coarser units go through ``date``, which involves no time zone:
+    ``date_trunc`` would pass through the session zone, and on a day whose
+    midnight does not exist there (a daylight-saving jump at 00:00) it would
+    return 01:00. Finer units use ``date_trunc`` and cast back.
     """
+    u = unit.lower()
+    if u in ("day", "dd"):
+        return _c(col).cast("date").cast("timestamp_ntz")
+    if u in _DATE_UNITS:
+        return F.trunc(_c(col).cast("date"), u).cast("timestamp_ntz")
     return F.date_trunc(unit, _c(col)).cast("timestamp_ntz")
 
 

@@ -33,7 +33,7 @@ MART_ORDERS = """
 WITH orders AS (SELECT * FROM {stg_orders}),
 customers AS (SELECT * FROM {stg_customers})
 SELECT o.order_id, o.customer_id, c.email AS customer_email, o.order_total,
-       o.ordered_at, CAST(date_trunc('DAY', o.ordered_at) AS TIMESTAMP_NTZ) AS ordered_date
+       o.ordered_at, CAST(CAST(o.ordered_at AS DATE) AS TIMESTAMP_NTZ) AS ordered_date
 FROM orders o
 LEFT JOIN customers c USING (customer_id)"""
 

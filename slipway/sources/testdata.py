@@ -9,16 +9,22 @@ evaluations or publish history, so each is derived from a whole table:
 * ``run_results``   <- events     (one build node per event, 4 per run)
 * ``publish_log``   <- orders     (one commit per order)
 
-``oracle_views()`` gives the same derivations in DuckDB SQL so that every
-registered query has an independent oracle.
+``ORACLE_VIEWS`` / ``oracle_with`` give the same derivations in DuckDB SQL
+so that every registered query has an independent oracle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _as_text(ts_ntz: Column) -> Column:
+    """A zone-less timestamp as ``yyyy-MM-dd HH:mm:ss`` text, without the
+    session time zone (the values here are whole seconds)."""
+    return ts_ntz.cast("string")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -29,7 +35,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").alias("order_total"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ordered_at"),
+        _as_text(F.col("o_orderdate")).alias("ordered_at"),
     )
 
 
@@ -41,7 +47,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("customer_id"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))),
                  F.lit("@example.com")).alias("email"),
-        F.date_format(signed_up, "yyyy-MM-dd HH:mm:ss").alias("signed_up_at"),
+        _as_text(signed_up).alias("signed_up_at"),
     )
 
 

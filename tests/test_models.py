@@ -131,3 +131,19 @@ def test_schema_name_and_cursor_value(spark):
     rows = df.select(schema_name("s", "analytics").alias("n"),
                      cursor_value(F.when(F.col("c") != "", F.col("c"))).alias("k")).collect()
     assert [(r["n"], r["k"]) for r in rows] == [("blue", 12), ("analytics", 0), ("green", 0)]
+
+
+def test_day_truncation_ignores_session_zone(spark):
+    from slipway.functions import trunc_ntz
+    df = spark.createDataFrame([("2018-11-04 10:00:00", "2018-11-20 07:30:00")], "a string, b string") \
+        .select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # midnight skipped on 2018-11-04
+    try:
+        r = df.select(trunc_ntz("day", "a").alias("d"), trunc_ntz("month", "b").alias("m"),
+                      trunc_ntz("hour", "b").alias("h")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["d"] == dt.datetime(2018, 11, 4)
+    assert r["m"] == dt.datetime(2018, 11, 1)
+    assert r["h"] == dt.datetime(2018, 11, 20, 7)
