@@ -42,6 +42,11 @@ class FS:
         return any(s.isFile() and not str(s.getPath().getName()).startswith(("_", "."))
                    for s in fs.listStatus(jp))
 
+    def modified_ms(self, p: str) -> int:
+        """Last modification time of ``p`` in epoch milliseconds."""
+        jp = self._path(p)
+        return int(self._fs(jp).getFileStatus(jp).getModificationTime())
+
     def delete(self, p: str) -> bool:
         jp = self._path(p)
         return bool(self._fs(jp).delete(jp, True))

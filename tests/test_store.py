@@ -305,3 +305,13 @@ def test_text_cursor_and_nothing_new(spark, store):
     assert done == [] and cur == rec["id"]
     done, cur = flow.remediate(store, cursor="")               # no cursor = 0
     assert done == ["t"]
+
+
+def test_expire_spares_uncommitted_recent_writes(spark, store):
+    store.build({"t": df_of(spark, [1])}); store.promote(["t"])
+    pending = store.write_version("t", df_of(spark, [2]))       # written, not committed
+    assert store.expire(retain_seconds=3600) == []
+    later = store.version("green", "t").ts + dt.timedelta(hours=2)
+    gone = store.expire(retain_seconds=3600, now=later)
+    assert gone == [pending.paths[0]]                           # old enough and unreferenced
+    assert ids(store.read("green", "t")) == [1]
