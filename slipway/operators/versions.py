@@ -18,7 +18,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STATE_COLS = ("seq", "ts", "action", "paths", "row_count", "run_key", "schema_json")
+STATE_COLS = ("seq", "ts", "action", "paths", "row_count", "run_key", "schema_json",
+              "published_seq", "prev_seq")
 
 # Fixed value: the name pattern of snapshot tables left out of a clone.
 SNAPSHOT_PATTERN = "%__snapshot"

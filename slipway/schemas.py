@@ -60,6 +60,11 @@ LOG_FIELDS = [
     # JSON of the table's schema, so reads need no inference and partition
     # columns come back with their own types (NULL in older logs).
     T.StructField("schema_json", T.StringType()),
+    # Carried on every row of an (env, table): the commit of its latest
+    # publish, and the commit whose state that publish replaced. A revert
+    # reads those single commit folders instead of the table's history.
+    T.StructField("published_seq", T.LongType()),
+    T.StructField("prev_seq", T.LongType()),
 ]
 LOG_FILE = T.StructType(LOG_FIELDS)
 LOG = T.StructType(LOG_FIELDS + [T.StructField("seq", T.LongType())])

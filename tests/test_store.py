@@ -315,3 +315,32 @@ def test_expire_spares_uncommitted_recent_writes(spark, store):
     gone = store.expire(retain_seconds=3600, now=later)
     assert gone == [pending.paths[0]]                           # old enough and unreferenced
     assert ids(store.read("green", "t")) == [1]
+
+
+def test_revert_pointers_carried_on_rows(spark, store):
+    store.build({"t": df_of(spark, [1])})                           # seq 1 (blue)
+    p1 = store.promote(["t"])                                      # seq 2
+    store.build({"t": df_of(spark, [2])})                           # seq 3
+    p2 = store.promote(["t"])                                      # seq 4
+    store.append("green", "t", df_of(spark, [9]))                   # seq 5
+    v = store.version("green", "t")
+    assert (v.published_seq, v.prev_seq) == (p2, p1)               # carried through the append
+    fresh = Store(spark, store.root).version("green", "t")         # same from the files
+    assert (fresh.published_seq, fresh.prev_seq) == (p2, p1)
+    assert ids(store.read_version(store.revert_target("t", to="last_publish"))) == [2]
+    assert ids(store.read_version(store.revert_target("t"))) == [1]
+
+
+def test_revert_falls_back_for_rows_without_pointers(spark, store):
+    from slipway import schemas
+    from slipway.sources.seeds import literal_frame
+    w1 = store.write_version("t", df_of(spark, [1]))
+    w2 = store.write_version("t", df_of(spark, [2]))
+    for seq, w in ((1, w1), (2, w2)):                               # an older log: no pointer columns
+        row = [(dt.datetime(2026, 1, 1, 0, seq), "green", "t", "publish", list(w.paths), 1, None,
+                None, None, None)]
+        literal_frame(spark, row, schemas.LOG_FILE).write.parquet(f"{store.log_path}/seq={seq}")
+    reader = Store(spark, store.root)
+    assert reader.version("green", "t").published_seq is None
+    reader.revert("t")
+    assert ids(reader.read("green", "t")) == [1]

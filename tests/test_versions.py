@@ -16,7 +16,7 @@ def test_like_matches_spark(spark):
 
 def _log(spark, rows):
     return spark.createDataFrame(
-        [(dt.datetime(2026, 1, 1) + dt.timedelta(hours=seq), env, t, a, p, n, None, None, seq)
+        [(dt.datetime(2026, 1, 1) + dt.timedelta(hours=seq), env, t, a, p, n, None, None, None, None, seq)
          for seq, env, t, a, p, n in rows], schemas.LOG)
 
 
