@@ -337,11 +337,11 @@ def q_clone_env(spark, sf_dir):
 def q_native_land_promote(spark, sf_dir):
     store = Store.scratch(spark)
     good = native_orders(spark, sf_dir)
-    flow.land(store, "orders", good, C.native_suite(), schema=NATIVE_ORDERS)
-    assert flow.promote_if_passing(store, "orders", bootstrap=True) is not None
-    flow.land(store, "orders", _with_duplicate(good, "order_id"), C.native_suite(),
-              schema=NATIVE_ORDERS)
-    assert flow.promote_if_passing(store, "orders") is None
+    suite = C.native_suite()
+    flow.land(store, "orders", good, suite, schema=NATIVE_ORDERS)
+    assert flow.promote_if_passing(store, "orders", bootstrap=True, checks=suite) is not None
+    flow.land(store, "orders", _with_duplicate(good, "order_id"), suite, schema=NATIVE_ORDERS)
+    assert flow.promote_if_passing(store, "orders", checks=suite) is None
     return store.read("green", "orders")
 
 

@@ -99,8 +99,17 @@ def checks_gate(checks: DataFrame, by: str = "asset",
                  F.coalesce(F.bool_and("passed"), F.lit(False)).alias("gate")))
 
 
-def gate_for(checks: DataFrame, asset: str, by: str = "asset") -> bool:
-    row = checks_gate(checks.where(F.col(by) == asset), by).first()
+def gate_for(checks: DataFrame, asset: str, by: str = "asset",
+             names: list[str] | None = None) -> bool:
+    """Gate for one asset. With ``names`` (the checks defined now) every one
+    of them needs a passing latest evaluation; one never evaluated keeps the
+    gate closed, and evaluations of checks no longer defined are ignored."""
+    src = checks.where(F.col(by) == asset)
+    if names is not None:
+        src = src.where(F.col("check_name").isin(list(names)))
+    row = checks_gate(src, by).first()
+    if names is not None and (row is None or row["checks"] != len(set(names))):
+        return False
     return bool(row and row["gate"])
 
 

@@ -163,11 +163,15 @@ def land(store: Store, table: str, df: DataFrame, checks: Sequence[C.Check],
 
 
 def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "green",
-                       bootstrap: bool = False) -> int | None:
+                       bootstrap: bool = False,
+                       checks: Sequence[C.Check] | None = None) -> int | None:
     """E2 second half: promote when every check's latest evaluation on the
     source passes (G3) and the source is newer than the destination (G4).
-    ``bootstrap`` allows the first publish, when there is no destination."""
-    if not G.gate_for(store.check_results(), asset_name(src, table)):
+    ``checks``, when given, is the suite defined now: each must have a
+    passing latest evaluation. ``bootstrap`` allows the first publish, when
+    there is no destination."""
+    names = [c.name for c in checks] if checks is not None else None
+    if not G.gate_for(store.check_results(), asset_name(src, table), names=names):
         return None
     f = freshness(store.history(table=table), src, dst).first()
     if f is None or not (f["fresh"] or (bootstrap and f["bootstrap"])):

@@ -101,3 +101,10 @@ def test_window_group_limit_applies_before_shuffle(spark):
     df = checks(spark, [(i, "a", "x", False) for i in range(50)])
     plan = G.failures_since(df, 0, 20)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_gate_for_defined_suite(spark):
+    df = checks(spark, [(1, "a", "old", False), (2, "a", "x", True), (3, "a", "y", True)])
+    assert not G.gate_for(df, "a")                            # every recorded check counts
+    assert G.gate_for(df, "a", names=["x", "y"])              # a check no longer defined is ignored
+    assert not G.gate_for(df, "a", names=["x", "y", "z"])     # z never evaluated: closed
