@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
-from slipway.operators.versions import freshness
 from slipway.sources.seeds import conform, literal_frame
 from slipway.store import NothingToRevert, Store
 
@@ -173,8 +172,8 @@ def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "
     names = [c.name for c in checks] if checks is not None else None
     if not G.gate_for(store.check_results(), asset_name(src, table), names=names):
         return None
-    f = freshness(store.history(table=table), src, dst).first()
-    if f is None or not (f["fresh"] or (bootstrap and f["bootstrap"])):
+    fresh, first = store.freshness(table, src, dst)
+    if not (fresh or (bootstrap and first)):
         return None
     return store.promote([table], src, dst)
 

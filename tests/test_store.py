@@ -344,3 +344,15 @@ def test_revert_falls_back_for_rows_without_pointers(spark, store):
     assert reader.version("green", "t").published_seq is None
     reader.revert("t")
     assert ids(reader.read("green", "t")) == [1]
+
+
+def test_store_freshness_matches_log_operator(spark, store):
+    from slipway.operators.versions import freshness
+    store.build({"a": df_of(spark, [1]), "b": df_of(spark, [1])})
+    store.promote(["a"])
+    store.build({"a": df_of(spark, [2])})
+    store.build({"c": df_of(spark, [1])}, env="green")
+    store.drop("green", "c")
+    want = {r["table_name"]: (r["fresh"], r["bootstrap"]) for r in freshness(store.log()).collect()}
+    got = {t: store.freshness(t) for t in ("a", "b", "c")}
+    assert got == want == {"a": (True, False), "b": (False, True), "c": (False, False)}
