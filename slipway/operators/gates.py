@@ -67,6 +67,23 @@ def marts_to_promote(results: DataFrame, by: str = "run_id",
     return marts.join(clean, on=by, how="left_semi").select(by, "name")
 
 
+def run_report(results: DataFrame, by: str = "run_id", folder: str = "marts") -> DataFrame:
+    """G1, A5, G2 and A6 for each run in one grouped pass: node and failure
+    counts, whether it is clean, the sorted failure list, and the sorted
+    marts to promote (empty unless clean)."""
+    bad = ~F.coalesce(status_ok("status"), F.lit(False))
+    is_mart = (F.col("resource_type") == "model") & in_folder(folder)
+    agg = results.groupBy(by).agg(
+        F.count(F.lit(1)).alias("nodes"),
+        F.count_if(bad).alias("failures"),
+        F.array_sort(F.collect_list(F.when(bad, node_label()))).alias("failed"),
+        F.array_sort(F.collect_list(F.when(is_mart, F.col("name")))).alias("marts"))
+    clean = (F.col("nodes") > 0) & (F.col("failures") == 0)
+    return agg.select(by, "nodes", "failures", clean.alias("clean"), "failed",
+                      F.when(clean, F.col("marts")).otherwise(F.array().cast("array<string>"))
+                      .alias("to_promote"))
+
+
 def promotion_summary(results: DataFrame, by: str = "run_id", folder: str = "marts") -> DataFrame:
     """Per clean run: number and sorted list of marts promoted."""
     return (marts_to_promote(results, by, folder).groupBy(by)

@@ -131,11 +131,10 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
             nodes.extend(tests)
 
     results = literal_frame(spark, nodes, schemas.RUN_RESULTS)
-    summary = G.run_summary(results).first()
+    summary = G.run_report(results).first()          # one row: this run
     clean = bool(summary and summary["clean"])
-    failed = G.failed_nodes(results).first()
     report = RunReport(run_id, clean,
-                       failures=failed["failed_nodes"].split(", ") if failed else [],
+                       failures=list(summary["failed"]) if summary else [],
                        errors=errors)
     if not clean:
         report.skipped_reason = "run not clean"
@@ -143,7 +142,7 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     if force_skip:
         report.skipped_reason = "promotion withheld"
         return report
-    to_promote = sorted(r["name"] for r in G.marts_to_promote(results).collect())
+    to_promote = sorted(summary["to_promote"])
     if to_promote:
         move = store.swap if strategy == "swap" else store.promote
         report.seq = move(to_promote, "blue", "green", run_key=f"run-{run_id}")

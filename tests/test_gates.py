@@ -108,3 +108,22 @@ def test_gate_for_defined_suite(spark):
     assert not G.gate_for(df, "a")                            # every recorded check counts
     assert G.gate_for(df, "a", names=["x", "y"])              # a check no longer defined is ignored
     assert not G.gate_for(df, "a", names=["x", "y", "z"])     # z never evaluated: closed
+
+
+def test_run_report_agrees_with_separate_gates(spark):
+    rnd = random.Random(11)
+    statuses = ["success", "success", "pass", "warn", "error", "skipped"]
+    rows = [node(rnd.randint(1, 6), f"{rnd.choice(['mart_', 'stg_'])}{i}", rnd.choice(statuses),
+                 rnd.choice(["model", "model", "test"]), rnd.choice(["marts", "staging"]))
+            for i in range(80)]
+    df = results(spark, rows)
+    rep = {r["run_id"]: r for r in G.run_report(df).collect()}
+    summ = {r["run_id"]: (r["nodes"], r["failures"], r["clean"]) for r in G.run_summary(df).collect()}
+    assert {k: (r["nodes"], r["failures"], r["clean"]) for k, r in rep.items()} == summ
+    fails = {r["run_id"]: r["failed_nodes"] for r in G.failed_nodes(df).collect()}
+    assert {k: ", ".join(r["failed"]) for k, r in rep.items() if r["failed"]} == fails
+    marts = defaultdict(list)
+    for r in G.marts_to_promote(df).collect():
+        marts[r["run_id"]].append(r["name"])
+    assert {k: list(r["to_promote"]) for k, r in rep.items() if r["to_promote"]} == \
+        {k: sorted(v) for k, v in marts.items()}
