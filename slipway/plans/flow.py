@@ -48,6 +48,18 @@ def asset_name(env: str, table: str) -> str:
     return f"{env}.{table}"
 
 
+def layer_name(name: str) -> str:
+    """The layer rule of ``functions.layer_of`` for names the driver holds."""
+    from slipway.functions.scalar import STAGING_PREFIX
+    return "staging" if name.startswith(STAGING_PREFIX) else "marts"
+
+
+def select_models(models: Mapping[str, object], layer: str | None = None) -> dict:
+    """The models a scheduled run builds: all of them, or one layer (a
+    frequent marts-only run next to a full hourly one)."""
+    return {n: m for n, m in models.items() if layer is None or layer_name(n) == layer}
+
+
 def evaluate(store: Store, env: str, table: str, checks: Sequence[C.Check],
              written=None) -> DataFrame:
     """Evaluate checks on a stored version and record them.

@@ -356,3 +356,14 @@ def test_store_freshness_matches_log_operator(spark, store):
     want = {r["table_name"]: (r["fresh"], r["bootstrap"]) for r in freshness(store.log()).collect()}
     got = {t: store.freshness(t) for t in ("a", "b", "c")}
     assert got == want == {"a": (True, False), "b": (False, True), "c": (False, False)}
+
+
+def test_marts_only_run_keeps_other_tables(spark, store, seeds):
+    marts = marts_of(seeds)
+    models = {"stg_orders": marts["mart_orders"].select("order_id"), **marts}
+    assert set(flow.select_models(models, "marts")) == {"mart_orders", "mart_customers"}
+    assert set(flow.select_models(models, "staging")) == {"stg_orders"}
+    assert flow.publish_run(store, models).promoted == ["mart_customers", "mart_orders"]
+    r = flow.publish_run(store, flow.select_models(models, "marts"), drop_extra=False)
+    assert r.clean and r.promoted == ["mart_customers", "mart_orders"]
+    assert store.version("blue", "stg_orders") is not None     # kept by the per-table clone
