@@ -62,7 +62,15 @@ def select_models(models: Mapping[str, object], layer: str | None = None) -> dic
 
 def evaluate(store: Store, env: str, table: str, checks: Sequence[C.Check],
              written=None) -> DataFrame:
-    """Evaluate checks on a stored version and record them.
+    """Evaluate checks on a stored version and record them."""
+    return store.record_checks(asset_name(env, table),
+                               check_results_for(store, env, table, checks, written),
+                               {"checked_table": asset_name(env, table), "engine": "spark"})
+
+
+def check_results_for(store: Store, env: str, table: str, checks: Sequence[C.Check],
+                      written=None) -> DataFrame:
+    """Check rows for a stored version (not recorded).
 
     Grouping-free checks come from the values observed during the write
     (when ``written`` is given); ``unique`` checks read just the key columns
@@ -78,8 +86,7 @@ def evaluate(store: Store, env: str, table: str, checks: Sequence[C.Check],
         results = C.results_from_metrics(store.spark, checks, written.metrics, extra)
     else:
         results = C.run_checks(store.read(env, table), checks)
-    return store.record_checks(asset_name(env, table), results,
-                               {"checked_table": asset_name(env, table), "engine": "spark"})
+    return results
 
 
 def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | DataFrame],
@@ -132,15 +139,19 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
                       for w in written.values()])
 
     def test_one(name):
-        recorded = evaluate(store, "blue", name, checks[name], written[name]).collect()
-        return [(run_id, f"test.{PROJECT}.{r['check_name']}.{name}", "test",
-                 r["check_name"], [PROJECT, "tests", name],
-                 "pass" if r["passed"] else ("fail" if r["blocking"] else "warn"))
-                for r in recorded]
+        rows = check_results_for(store, "blue", name, checks[name], written[name]).collect()
+        meta = {"checked_table": asset_name("blue", name), "engine": "spark"}
+        return (asset_name("blue", name), rows, meta)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        for tests in pool.map(test_one, [n for n in sorted(written) if checks.get(n)]):
-            nodes.extend(tests)
+        evaluated = list(pool.map(test_one, [n for n in sorted(written) if checks.get(n)]))
+    store.record_many(evaluated)                   # one file for the whole run
+    for asset, rows, _ in evaluated:
+        name = asset.split(".", 1)[1]
+        nodes.extend((run_id, f"test.{PROJECT}.{r['check_name']}.{name}", "test",
+                      r["check_name"], [PROJECT, "tests", name],
+                      "pass" if r["passed"] else ("fail" if r["blocking"] else "warn"))
+                     for r in rows)
 
     results = literal_frame(spark, nodes, schemas.RUN_RESULTS)
     summary = G.run_report(results).first()          # one row: this run

@@ -367,3 +367,13 @@ def test_marts_only_run_keeps_other_tables(spark, store, seeds):
     r = flow.publish_run(store, flow.select_models(models, "marts"), drop_extra=False)
     assert r.clean and r.promoted == ["mart_customers", "mart_orders"]
     assert store.version("blue", "stg_orders") is not None     # kept by the per-table clone
+
+
+def test_run_records_checks_in_one_file(spark, store, seeds):
+    checks = {"mart_orders": [C.unique("order_id")], "mart_customers": [C.unique("customer_id")]}
+    flow.publish_run(store, marts_of(seeds), checks)
+    files = [f for f in os.listdir(store.checks_path.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 1
+    res = store.check_results().collect()
+    assert sorted(r["asset"] for r in res) == ["blue.mart_customers", "blue.mart_orders"]
+    assert sorted(r["id"] for r in res) == [1, 2]
