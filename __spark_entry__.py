@@ -310,6 +310,31 @@ def q_remediate_batch(spark, sf_dir):
     return store.read("green", "mart_orders")
 
 
+def q_store_append(spark, sf_dir):
+    """Append one row of the live table to itself through the store: only
+    the new row is written, and green's file list grows by one folder."""
+    store = Store.scratch(spark)
+    flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    live = store.read("green", "mart_orders")
+    store.append("green", "mart_orders", live.orderBy("order_id").limit(1))
+    v = store.version("green", "mart_orders")
+    assert len(v.paths) == 2 and v.row_count == live.count() + 1, v
+    return store.read("green", "mart_orders")
+
+
+def q_expire_roundtrip(spark, sf_dir):
+    """Two publishes, then expire everything outside a zero-second window as
+    seen from a day later: superseded versions go, live data stays."""
+    import datetime as dt
+    store = Store.scratch(spark)
+    for _ in range(2):
+        flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    later = store.version("green", "mart_orders").ts + dt.timedelta(days=1)
+    gone = store.expire(retain_seconds=0, now=later)
+    assert len(gone) == 2, gone                      # the first build of each mart
+    return store.read("green", "mart_orders")
+
+
 def q_stream_revert(spark, sf_dir):
     store = _corrupted_live(spark, sf_dir)
     q = revert_on_failure(store, tables=["mart_orders"], check_name="no_duplicate_order_ids")
@@ -397,6 +422,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revert_roundtrip": q_revert_roundtrip,
         "stream_revert": q_stream_revert,
         "revert_by_time": q_revert_by_time,
+        "store_append": q_store_append,
+        "expire_roundtrip": q_expire_roundtrip,
         "remediate_batch": q_remediate_batch,
         "blocked_promotion": q_blocked_promotion,
         "clone_env": q_clone_env,
@@ -560,6 +587,10 @@ def oracle_sql() -> dict[str, str]:
         "revert_roundtrip": _view("mart_orders"),
         "stream_revert": _view("mart_orders"),
         "revert_by_time": _view("mart_orders"),
+        "store_append": w("mart_orders") + """
+            SELECT * FROM mart_orders
+            UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1)""",
+        "expire_roundtrip": _view("mart_orders"),
         "remediate_batch": _view("mart_orders"),
         "blocked_promotion": _view("mart_customers"),
         "clone_env": w("mart_orders", "mart_customers") + """
