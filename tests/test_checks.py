@@ -1,8 +1,6 @@
 import random
 
-from slipway import schemas
 from slipway.operators import checks as C
-from slipway.sources import from_rows
 
 
 def _as_dict(df):
