@@ -22,8 +22,13 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # A broadcast side must be measured below this; AQE re-checks at run time.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Broadcast only below a checked size. Before execution the size is an
+    # estimate from compressed Parquet files, so keep that threshold small
+    # and inflate file estimates; larger broadcasts are decided by AQE from
+    # sizes measured at run time.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",

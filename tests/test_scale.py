@@ -42,8 +42,10 @@ def customers(spark):
 
 
 def test_hot_key_join_is_split_and_whole(spark):
+    # the customer side stands in for a dimension too large to broadcast
     with conf(spark, **{
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
@@ -64,6 +66,19 @@ def test_hot_key_join_is_split_and_whole(spark):
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan, plan
 
 
+def test_small_side_broadcast_only_on_measured_size(spark):
+    # no static broadcast: AQE sees the measured (tiny) customer side at run time
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m"}):
+        mart = M.mart_orders(M.stg_orders(skewed_orders(spark, 3000)), M.stg_customers(customers(spark)))
+        initial = mart._jdf.queryExecution().executedPlan().toString()
+        assert mart.count() == 3000
+        mart.collect()
+        final = mart._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in initial
+    assert "BroadcastHashJoin" in final
+
+
 def test_hot_key_aggregate_is_partial(spark):
     o = M.stg_orders(skewed_orders(spark))
     agg = M.customer_totals(o)
