@@ -57,14 +57,19 @@ def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+# Above this many rows a literal plan gets large; build from local data instead.
+LITERAL_ROWS_MAX = 200
+
+
 def literal_frame(spark: SparkSession, rows: Sequence[Sequence],
                   schema: T.StructType) -> DataFrame:
     """A small DataFrame of driver-held rows (log entries, check results,
     run results) built from literals, so no Python worker is involved.
-    For metadata only: every value becomes part of the plan."""
+    For metadata only: every value becomes part of the plan, so past
+    ``LITERAL_ROWS_MAX`` rows it is built from local data instead."""
     rows = list(rows)
-    if not rows:
-        return spark.createDataFrame([], schema)
+    if not rows or len(rows) > LITERAL_ROWS_MAX:
+        return spark.createDataFrame(rows, schema)
     structs = [F.struct(*[_literal(v, f.dataType).alias(f.name)
                           for v, f in zip(r, schema.fields)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))

@@ -147,3 +147,16 @@ def test_day_truncation_ignores_session_zone(spark):
     assert r["d"] == dt.datetime(2018, 11, 4)
     assert r["m"] == dt.datetime(2018, 11, 1)
     assert r["h"] == dt.datetime(2018, 11, 20, 7)
+
+
+def test_literal_frame_small_and_large(spark):
+    from pyspark.sql import types as T
+
+    from slipway.sources.seeds import LITERAL_ROWS_MAX, literal_frame
+    schema = T.StructType.fromDDL("i bigint, s string, a array<double>, m map<string,string>")
+    rows = [(i, f"s{i}", [float(i)], {"k": str(i)}) for i in range(LITERAL_ROWS_MAX + 5)]
+    for n in (1, LITERAL_ROWS_MAX + 5):
+        df = literal_frame(spark, rows[:n], schema)
+        assert df.schema.simpleString() == schema.simpleString()
+        assert sorted(tuple(r) for r in df.collect())[:1] == [(0, "s0", [0.0], {"k": "0"})]
+        assert df.count() == n
