@@ -377,3 +377,12 @@ def test_run_records_checks_in_one_file(spark, store, seeds):
     res = store.check_results().collect()
     assert sorted(r["asset"] for r in res) == ["blue.mart_customers", "blue.mart_orders"]
     assert sorted(r["id"] for r in res) == [1, 2]
+
+
+def test_log_since_names_folders(spark, store):
+    for i in range(4):
+        store.build({"t": df_of(spark, [i])}, env="green", run_key=f"k{i}")
+    assert sorted(r["run_key"] for r in store.log_since(2).collect()) == ["k2", "k3"]
+    assert store.log_since(4).count() == 0
+    assert store.log_since(0).count() == 4
+    assert store.has_run_key("k3", after_seq=2) and not store.has_run_key("k1", after_seq=2)
