@@ -5,7 +5,6 @@ import __spark_entry__ as E
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SKIP_HEAVY = {"stream_revert", "swap_roundtrip", "blocked_promotion", "snapshot_customers"}
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +12,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_HEAVY))
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     sql = E.oracle_sql().get(name)
