@@ -335,6 +335,19 @@ def q_expire_roundtrip(spark, sf_dir):
     return store.read("green", "mart_orders")
 
 
+def q_audit_trail(spark, sf_dir):
+    """The publish log as the audit trail of two runs, a live corruption and
+    its remediation: every pointer move with its row count and run key."""
+    store = Store.scratch(spark)
+    for _ in range(2):
+        flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    live = store.read("green", "mart_orders")
+    store.append("green", "mart_orders", live.orderBy("order_id").limit(1))
+    flow.check_live(store, "mart_orders", key="order_id")
+    flow.remediate(store, cursor=0)
+    return store.history().select("seq", "env", "table_name", "action", "row_count", "run_key")
+
+
 def q_stream_revert(spark, sf_dir):
     store = _corrupted_live(spark, sf_dir)
     q = revert_on_failure(store, tables=["mart_orders"], check_name="no_duplicate_order_ids")
@@ -423,6 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_revert": q_stream_revert,
         "revert_by_time": q_revert_by_time,
         "store_append": q_store_append,
+        "audit_trail": q_audit_trail,
         "expire_roundtrip": q_expire_roundtrip,
         "remediate_batch": q_remediate_batch,
         "blocked_promotion": q_blocked_promotion,
@@ -591,6 +605,29 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM mart_orders
             UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1)""",
         "expire_roundtrip": _view("mart_orders"),
+        # Run 1 builds (seq 1) and publishes (2); run 3 clones green into
+        # blue (3), builds (4) and publishes (5); then one row is appended
+        # to live green (6), the live check is evaluation 9 (runs 1 and 3
+        # recorded 4 each), and its revert restores run 1's build (7).
+        "audit_trail": w("mart_orders", "mart_customers") + """,
+            n AS (SELECT (SELECT count(*) FROM mart_orders) AS o,
+                         (SELECT count(*) FROM mart_customers) AS c)
+            SELECT CAST(seq AS BIGINT) AS seq, env, table_name, action,
+                   CAST(row_count AS BIGINT) AS row_count, run_key
+            FROM (
+                SELECT 1 AS seq, 'blue' AS env, 'mart_customers' AS table_name, 'build' AS action,
+                       c AS row_count, 'run-1' AS run_key FROM n
+                UNION ALL SELECT 1, 'blue', 'mart_orders', 'build', o, 'run-1' FROM n
+                UNION ALL SELECT 2, 'green', 'mart_customers', 'publish', c, 'run-1' FROM n
+                UNION ALL SELECT 2, 'green', 'mart_orders', 'publish', o, 'run-1' FROM n
+                UNION ALL SELECT 3, 'blue', 'mart_customers', 'clone', c, NULL FROM n
+                UNION ALL SELECT 3, 'blue', 'mart_orders', 'clone', o, NULL FROM n
+                UNION ALL SELECT 4, 'blue', 'mart_customers', 'build', c, 'run-3' FROM n
+                UNION ALL SELECT 4, 'blue', 'mart_orders', 'build', o, 'run-3' FROM n
+                UNION ALL SELECT 5, 'green', 'mart_customers', 'publish', c, 'run-3' FROM n
+                UNION ALL SELECT 5, 'green', 'mart_orders', 'publish', o, 'run-3' FROM n
+                UNION ALL SELECT 6, 'green', 'mart_orders', 'append', o + 1, NULL FROM n
+                UNION ALL SELECT 7, 'green', 'mart_orders', 'revert', o, 'revert-9' FROM n)""",
         "remediate_batch": _view("mart_orders"),
         "blocked_promotion": _view("mart_customers"),
         "clone_env": w("mart_orders", "mart_customers") + """
