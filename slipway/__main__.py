@@ -7,6 +7,7 @@
     python -m slipway revert  ROOT TABLE [--seconds-ago N | --as-of TS | --to last_publish]
     python -m slipway expire  ROOT [--retain-seconds N]
     python -m slipway checks  ROOT [--asset A]
+    python -m slipway history ROOT [--env E] [--table T]
 
 Every command prints one JSON document.
 """
@@ -40,6 +41,8 @@ def main(argv=None, spark=None) -> dict:
     s = sub.add_parser("expire"); s.add_argument("root")
     s.add_argument("--retain-seconds", type=float, default=86400.0)
     s = sub.add_parser("checks"); s.add_argument("root"); s.add_argument("--asset")
+    s = sub.add_parser("history"); s.add_argument("root"); s.add_argument("--env")
+    s.add_argument("--table")
     args = p.parse_args(argv)
 
     from slipway.operators import gates as G
@@ -58,6 +61,11 @@ def main(argv=None, spark=None) -> dict:
         seq = store.revert(args.table, args.env, as_of=args.as_of,
                            seconds_ago=args.seconds_ago, to=args.to)
         out = {"seq": seq, "tables": _state(store, args.env, None)}
+    elif args.cmd == "history":
+        rows = (store.history(args.env, args.table)
+                .select("seq", "ts", "env", "table_name", "action", "row_count", "run_key")
+                .orderBy("seq", "env", "table_name").collect())
+        out = {"history": [r.asDict() for r in rows]}
     elif args.cmd == "expire":
         out = {"deleted": store.expire(args.retain_seconds)}
     else:

@@ -15,5 +15,7 @@ def test_cli_promote_state_revert(spark, store, capsys):
     out = main(["revert", store.root, "t"], spark=spark)
     assert out["tables"]["t"]["row_count"] == 1
     assert main(["checks", store.root], spark=spark) == {"gate": []}
+    hist = main(["history", store.root, "--env", "green"], spark=spark)["history"]
+    assert [h["action"] for h in hist] == ["publish", "publish", "revert"]
     assert main(["expire", store.root], spark=spark) == {"deleted": []}
     assert '"seq"' in capsys.readouterr().out
