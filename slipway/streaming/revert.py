@@ -1,9 +1,10 @@
 """Revert on failure as a Structured Streaming job.
 
 The store's check evaluations are an append-only Parquet folder, so they
-are a file stream. Failed evaluations of the watched tables flow into
-``foreachBatch``; per batch and table the latest failure triggers one
-revert carrying ``revert-<id>``.
+are a file stream. Evaluations of the watched tables flow into
+``foreachBatch``; per batch and table, when the latest evaluation failed it
+triggers one revert carrying ``revert-<id>`` (a failure followed by a pass
+in the same batch reverts nothing, as only the latest evaluation counts).
 
 * The stream checkpoint (in the store, on the shared file system) replaces
   the polling cursor: a restarted job resumes after the last batch.
@@ -27,27 +28,35 @@ from slipway.store import NothingToRevert, Store
 
 def failed_evaluations(store: Store, env: str = "green",
                        tables: Sequence[str] | None = None,
-                       check_name: str | None = None) -> DataFrame:
-    """The stream of failed evaluations on ``env`` tables."""
+                       check_name: str | None = None,
+                       failed_only: bool = True) -> DataFrame:
+    """The stream of (failed) evaluations on ``env`` tables."""
     src = (store.spark.readStream.schema(schemas.CHECK_RESULTS)
            .option("maxFilesPerTrigger", 1000)
            .parquet(store.checks_path))
-    cond = ~F.col("passed") & F.col("asset").startswith(f"{env}.")
+    cond = F.col("asset").startswith(f"{env}.")
+    if failed_only:
+        cond = cond & ~F.col("passed")
     if tables is not None:
         cond = cond & F.col("asset").isin([f"{env}.{t}" for t in tables])
     if check_name is not None:
         cond = cond & (F.col("check_name") == check_name)
-    return src.where(cond).select("id", "asset", "check_name",
+    return src.where(cond).select("id", "asset", "check_name", "passed",
                                   F.col("metadata")["log_seq"].cast("bigint").alias("log_seq"))
 
 
 def revert_batch(store: Store, env: str = "green", to: str = "previous"):
-    """``foreachBatch`` handler: one revert per table per batch."""
+    """``foreachBatch`` handler: at most one revert per table per batch,
+    when the table's latest evaluation in the batch failed."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        passed = F.col("passed") if "passed" in batch.columns else F.lit(False)
         latest = (batch.groupBy("asset")
-                  .agg(F.max_by("log_seq", "id").alias("log_seq"), F.max("id").alias("id"))
-                  .select("asset", "id", "log_seq", run_key("id").alias("run_key")))
+                  .agg(F.max_by(F.struct(passed.alias("passed"), F.col("log_seq")), "id")
+                       .alias("last"), F.max("id").alias("id"))
+                  .where(~F.col("last.passed"))
+                  .select("asset", "id", F.col("last.log_seq").alias("log_seq"),
+                          run_key("id").alias("run_key")))
         for r in latest.collect():                       # one row per table
             table = r["asset"].split(".", 1)[1]
             try:
@@ -66,7 +75,7 @@ def revert_on_failure(store: Store, env: str = "green", tables: Sequence[str] |
                       to: str = "previous") -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and stops
     (run it on a schedule); otherwise it polls every ``processing_time``."""
-    writer = (failed_evaluations(store, env, tables, check_name).writeStream
+    writer = (failed_evaluations(store, env, tables, check_name, failed_only=False).writeStream
               .foreachBatch(revert_batch(store, env, to))
               .option("checkpointLocation", checkpoint or f"{store.root}/streams/revert-{env}"))
     writer = (writer.trigger(availableNow=True) if available_now

@@ -46,3 +46,15 @@ def test_replayed_batch_does_not_revert_twice(spark, store):
     handle(rec, 0)
     handle(rec, 0)                                              # replay of the same epoch
     assert store.history("green", "t").where("action = 'revert'").count() == 1
+
+
+def test_failure_then_pass_in_one_batch_reverts_nothing(spark, store):
+    store.build({"t": df_of(spark, [1])}); store.promote(["t"])
+    store.build({"t": df_of(spark, [2, 2])}); store.promote(["t"])
+    flow.check_live(store, "t")                                  # fails
+    store.build({"t": df_of(spark, [3])}); store.promote(["t"])  # fixed by a new publish
+    flow.check_live(store, "t")                                  # passes: latest is clean
+    q = revert_on_failure(store, tables=["t"], checkpoint=f"{store.root}/streams/x")
+    q.awaitTermination(120)
+    assert store.history("green", "t").where("action = 'revert'").count() == 0
+    assert ids(store.read("green", "t")) == [3]
