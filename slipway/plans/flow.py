@@ -225,7 +225,8 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
               to: str = "previous"):
     """Turn failed evaluations after ``cursor`` into reverts.
 
-    ``mode='latest'`` acts on each check's latest evaluation only (G5);
+    ``mode='latest'`` acts on each check's latest evaluation only (G5), with
+    one revert per table (for its newest failing evaluation);
     ``mode='all'`` scans the next ``limit`` evaluations after the cursor in
     id order and acts on every failure among them; the next cursor is the
     last id scanned (G6). Each revert carries ``revert-<id>`` so a repeated
@@ -237,7 +238,11 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
     results = store.check_results().where(F.col("asset").startswith(f"{env}."))
     if mode == "latest":
         with_pos = results.withColumn("log_seq", F.col("metadata")["log_seq"])
-        reqs = G.failures_latest(with_pos, cursor, check_name, carry=("log_seq",)).collect()
+        failing = G.failures_latest(with_pos, cursor, check_name, carry=("log_seq",))
+        # several failing checks on one table: one revert, for the newest
+        reqs = (failing.groupBy("asset")
+                .agg(F.max_by(F.struct("id", "run_key", "log_seq"), "id").alias("r"))
+                .select("asset", "r.*").collect())
         new_cursor = G.next_cursor(results, cursor)
     else:
         batch = G.next_batch(results, cursor, limit).collect()

@@ -386,3 +386,14 @@ def test_log_since_names_folders(spark, store):
     assert store.log_since(4).count() == 0
     assert store.log_since(0).count() == 4
     assert store.has_run_key("k3", after_seq=2) and not store.has_run_key("k1", after_seq=2)
+
+
+def test_two_failing_checks_one_revert(spark, store):
+    store.build({"t": df_of(spark, [1])}); store.promote(["t"])
+    store.build({"t": df_of(spark, [2, 2])}); store.promote(["t"])
+    flow.check_live(store, "t")                                          # no_duplicate_order_ids
+    flow.check_live(store, "t", key="customer_id", check_name="cust")    # also fails
+    done, _ = flow.remediate(store, cursor=0)
+    assert done == ["t"]
+    assert store.history("green", "t").where("action = 'revert'").count() == 1
+    assert flow.remediate(store, cursor=0)[0] == []                      # replay: nothing
