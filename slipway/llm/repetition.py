@@ -180,3 +180,15 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     return docs.select(id_col, text_col).mapInArrow(
         rules, f"{id_col} {kind}, " + ", ".join(f"{f} {t}" for f, t in FIELDS))
+
+
+def keep(docs: DataFrame, text_col: str = "text", min_words: int = 8, max_covered: float = 0.3,
+         max_longest: int = 100, slice_bytes: int = 1 << 20) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    def rules(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch.column(text_col), slice_bytes):
+                found = measure(data, offsets, min_words, max_covered, max_longest)
+                yield batch.slice(lo, hi - lo).filter(pa.array(found["kept"]))
+
+    return docs.mapInArrow(rules, docs.schema)
