@@ -30,6 +30,12 @@ from slipway.sources import testdata as TD  # noqa: E402
 from slipway.store import Store  # noqa: E402
 from slipway.streaming import revert_on_failure  # noqa: E402
 
+try:  # the corpus operators and their pipeline can be left out as a whole
+    import corpus_pipeline  # noqa: F401, E402
+    from slipway.llm import queries as LLM  # noqa: E402
+except ImportError:
+    LLM = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "1998-01-01 00:00:00"
 WATCHED_CHECK = "error"
@@ -399,6 +405,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (LLM.queries() if LLM else {})
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stg_orders": q_stg_orders,
         "stg_customers": q_stg_customers,
@@ -510,6 +520,10 @@ _RESOLVED_SQL = """
 
 
 def oracle_sql() -> dict[str, str]:
+    return own_oracle_sql() | (LLM.oracle_sql() if LLM else {})
+
+
+def own_oracle_sql() -> dict[str, str]:
     w = TD.oracle_with
     return {
         "stg_orders": _view("stg_orders"),
