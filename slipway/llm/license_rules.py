@@ -142,8 +142,8 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
 
     def ids(text):
         cut = f"regexp_replace(regexp_replace({text}, '[.;:!?]+([\\x09-\\x0D\\x20]+|$)', '|', 'g'), '[^a-z0-9|]+', ' ', 'g')"
-        got = (f"list_filter(list_transform(string_split({cut}, '|'), s -> list_position([{names}], trim(s))), "
-               "i -> coalesce(i, 0) > 0)")
+        got = (f"list_filter(list_transform(string_split({cut}, '|'), lambda s: list_position([{names}], trim(s))), "
+               "lambda i: coalesce(i, 0) > 0)")
         return f"coalesce(',' || nullif(array_to_string({got}, ','), '') || ',', '')"
 
     by_name: dict[str, list[str]] = {}
@@ -153,5 +153,5 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
         "CASE WHEN " + " OR ".join(f"regexp_matches(sentence_ids, {quoted(p)}) OR regexp_matches(line_ids, {quoted(p)})"
                                    for p in ps) + f" THEN {quoted(x)} END" for x, ps in sorted(by_name.items()))
     return f"""SELECT {id_col}, sentence_ids, line_ids,
-                      array_to_string(list_filter([{hits}], x -> x IS NOT NULL), ',') AS licences
+                      array_to_string(list_filter([{hits}], lambda x: x IS NOT NULL), ',') AS licences
                FROM (SELECT {id_col}, {ids(base)} AS sentence_ids, {ids(at_lines)} AS line_ids FROM {table})"""
