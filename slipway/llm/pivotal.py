@@ -47,7 +47,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
         .withColumn("ratio", F.col("limit") / F.col("weight")) \
         .withColumn("at", (share * F.sum("source_size").over(everything)
                            - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(on)) \
-        .withColumn("at", F.min(F.when(F.col("at") <= F.col("ratio"), F.col("at"))).over(everything))
+        .withColumn("at", F.max(F.when(F.col("at") <= F.col("ratio"), F.col("at"))).over(everything))
     return out.select("source", "source_size",
                       F.least("limit", F.coalesce(F.col("at") * F.col("weight"), F.col("limit"))).alias("target"))
 
