@@ -307,7 +307,8 @@ def search(members: DataFrame, docs: DataFrame, words: int, percent: int, id_col
                     ["cluster", "blocks", "block", "key", "rep", "hashes"]).filter(pa.array(same))
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    found = texts.join(members, "rep").mapInArrow(
+    # members grow with the documents: the same join at every size, none that gathers them in one place
+    found = texts.join(members.hint("merge"), "rep").mapInArrow(
         read, "cluster long, blocks long, block long, key long, rep long, hashes binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = found.select("*", other).select(
