@@ -72,7 +72,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str =
 
     def encode(batches):
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column(1), 4 << 20):
+            for lo, hi, data, offsets in chunks(batch.column(1), 1 << 20):
                 ids, rows = encoder(tokenizer, cut).encode(data, offsets)
                 ids, rows = np.insert(ids, rows[1:], end_id), rows + np.arange(len(rows))
                 size = np.diff(rows)

@@ -15,7 +15,7 @@ import numpy as np
 
 from slipway.llm.arrays import LOWER, SPACE, distinct, hash_spans
 
-MEMO = 3_000_000
+MEMO = 1_000_000
 JOIN = 500
 
 #: bytes that surely start a character other than white space

@@ -95,7 +95,7 @@ def _encoded(docs: DataFrame, key: str, text: str, tokenizer: str, cut: Cut, end
     def encode(batches):
         for batch in batches:
             shard = _shard_of(batch.column(0), bounds)
-            for lo, hi, data, offsets in chunks(batch.column(1), 4 << 20):
+            for lo, hi, data, offsets in chunks(batch.column(1), 1 << 20):
                 ids, rows = encoder(tokenizer, cut).encode(data, offsets)
                 ids, rows = np.insert(ids, rows[1:], end_id).astype("<u2"), rows + np.arange(len(rows))
                 made = pa.Array.from_buffers(pa.large_binary(), hi - lo,
