@@ -181,9 +181,8 @@ def measure(nodes: list[Node]) -> None:
 
 def content(nodes: list[Node]) -> list[Node]:
     """Roots of the subtrees that hold the main text, in document order."""
-    live = [x for x in nodes if not x.cut and x.chars and x.tag != "html"] or [x for x in nodes[:1] if x.chars]
-    if not live:
-        return []
+    top = next((x for x in nodes if x.tag == "body"), nodes[0])
+    live = [x for x in nodes if not x.cut and x.chars and (x.tag != "html" or x is top)] or nodes[:1]
     main = max(live, key=lambda x: x.total)  # of equals the first, which is the outermost
     path, node = [], main
     while node:
@@ -192,7 +191,7 @@ def content(nodes: list[Node]) -> list[Node]:
     whole = [x for x in path if x.tag in ("article", "main")]
     if whole:
         return [next((x for x in reversed(whole) if x.tag == "article"), whole[-1])]
-    threshold = min(x.density for x in path if x.tag != "html" or len(path) == 1)
+    threshold = min(x.density for x in path if x.tag != "html" or x is top)
     chosen, inside = [], {id(x) for x in path[1:]}
     work = [path[-1]]
     while work:
