@@ -52,7 +52,7 @@ def main():
         show(store, f"publish {i}: promoted {report.promoted}")
 
     bad = models.build_marts(orders, customers)
-    bad["mart_orders"] = bad["mart_orders"].unionByName(bad["mart_orders"].where("order_id = 1001"))
+    bad["mart_orders"] = bad["mart_orders"].unionByName(bad["mart_orders"].where("order_id = 505"))
     report = flow.publish_run(store, bad, CHECKS)
     show(store, f"bad build: clean={report.clean}, failures={report.failures}")
 

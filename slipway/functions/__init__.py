@@ -8,7 +8,6 @@ from slipway.functions.scalar import (  # noqa: F401
     is_truthy,
     joined_sorted,
     layer_of,
-    money_sum,
     node_label,
     run_key,
     schema_name,

@@ -50,15 +50,6 @@ def trunc_ntz(unit: str, col) -> Column:
     return F.date_trunc(unit, _c(col)).cast("timestamp_ntz")
 
 
-def money_sum(col) -> Column:
-    """Order-independent sum of a 2-decimal money column, as double.
-
-    A double sum depends on the order rows arrive in, which changes with
-    partitioning; summing as decimal gives the same answer on any layout.
-    """
-    return F.sum(_c(col).cast("decimal(18,2)")).cast("double")
-
-
 def status_ok(col="status") -> Column:
     return _c(col).isin(*OK_STATUSES)
 

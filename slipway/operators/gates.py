@@ -139,8 +139,9 @@ def failures_latest(checks: DataFrame, cursor: int = 0, check_name: str | None =
     ``carry`` names more columns of the latest evaluation to return.
     """
     src = checks if check_name is None else checks.where(F.col("check_name") == check_name)
+    src = src.where(F.col("id") > F.lit(cursor))  # older ones can't be the latest that counts
     latest = latest_checks(src.select(*keys, "id", "passed", *carry), keys)
-    return (latest.where((F.col("id") > F.lit(cursor)) & ~F.col("passed"))
+    return (latest.where(~F.col("passed"))
             .select(*keys, "id", run_key("id").alias("run_key"), *carry))
 
 

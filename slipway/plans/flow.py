@@ -103,6 +103,9 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     gets the old green). ``force_skip`` withholds promotion of a clean run.
     """
     checks = checks or {}
+    unknown = sorted(set(checks) - set(models))
+    if unknown:
+        raise ValueError(f"checks of tables that are not built: {unknown}")
     spark = store.spark
     run_id = run_id if run_id is not None else store.top_seq() + 1
     store.clone("green", "blue", drop_extra=drop_extra)
@@ -139,7 +142,14 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
                       for w in written.values()])
 
     def test_one(name):
-        rows = check_results_for(store, "blue", name, checks[name], written[name]).collect()
+        try:
+            rows = check_results_for(store, "blue", name, checks[name], written[name]).collect()
+        except Exception as exc:  # a test that cannot run fails the run, not the process
+            with lock:
+                errors[f"test {name}"] = f"{type(exc).__name__}: {str(exc)[:300]}"
+                nodes.extend((run_id, f"test.{PROJECT}.{c.name}.{name}", "test", c.name, [PROJECT, "tests", name],
+                              "error") for c in checks[name])
+            rows = []
         meta = {"checked_table": asset_name("blue", name), "engine": "spark"}
         return (asset_name("blue", name), rows, meta)
 
@@ -192,7 +202,12 @@ def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "
     passing latest evaluation. ``bootstrap`` allows the first publish, when
     there is no destination."""
     names = [c.name for c in checks] if checks is not None else None
-    if not G.gate_for(store.check_results(), asset_name(src, table), names=names):
+    build = store.version(src, table)
+    if build is None:
+        return None
+    # only evaluations of this build count, not those of an earlier one
+    of_build = store.check_results().where(F.col("metadata")["log_seq"].cast("bigint") >= build.seq)
+    if not G.gate_for(of_build, asset_name(src, table), names=names):
         return None
     fresh, first = store.freshness(table, src, dst)
     if not (fresh or (bootstrap and first)):
@@ -251,13 +266,16 @@ def remediate(store: Store, cursor: int = 0, check_name: str | None = None,
                  "log_seq": (r["metadata"] or {}).get("log_seq")}
                 for r in batch if not r["passed"]
                 and (check_name is None or r["check_name"] == check_name)]
-    done = []
+    done, impossible = [], []
     for r in sorted(reqs, key=lambda r: r["id"]):
-        table = r["asset"].split(".", 1)[1]
+        table, at = r["asset"].split(".", 1)[1], int(r["log_seq"] or 0)
+        if store.superseded(table, env, at):
+            continue
         try:
-            if store.revert(table, env, run_key=r["run_key"], to=to,
-                            after_seq=int(r["log_seq"] or 0)) is not None:
+            if store.revert(table, env, run_key=r["run_key"], to=to, after_seq=at) is not None:
                 done.append(table)
-        except NothingToRevert:
-            pass
+        except NothingToRevert as exc:
+            impossible.append(str(exc))
+    if impossible:  # the others are done; a repeat does not revert them again
+        raise NothingToRevert("; ".join(impossible))
     return done, new_cursor

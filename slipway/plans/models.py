@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipway.functions import money_sum, to_ntz, trunc_ntz
+from slipway.functions import to_ntz, trunc_ntz
 
 
 def stg_orders(raw_orders: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def mart_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def customer_totals(orders: DataFrame) -> DataFrame:
     return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("lifetime_orders"),
-        money_sum("order_total").alias("lifetime_revenue"),
+        F.sum("order_total").alias("lifetime_revenue"),
         F.max("ordered_at").alias("last_order_at"),
     )
 

@@ -14,44 +14,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 STG_ORDERS = """
-WITH source AS (SELECT * FROM {raw_orders}),
-renamed AS (
-    SELECT order_id, customer_id, order_total,
-           CAST(ordered_at AS TIMESTAMP_NTZ) AS ordered_at
-    FROM source)
-SELECT * FROM renamed"""
+SELECT order_id, customer_id, order_total, ordered_at::TIMESTAMP_NTZ AS ordered_at
+FROM {raw_orders}"""
 
 STG_CUSTOMERS = """
-WITH source AS (SELECT * FROM {raw_customers}),
-renamed AS (
-    SELECT customer_id, email,
-           CAST(signed_up_at AS TIMESTAMP_NTZ) AS signed_up_at
-    FROM source)
-SELECT * FROM renamed"""
+SELECT customer_id, email, signed_up_at::TIMESTAMP_NTZ AS signed_up_at
+FROM {raw_customers}"""
 
 MART_ORDERS = """
-WITH orders AS (SELECT * FROM {stg_orders}),
-customers AS (SELECT * FROM {stg_customers})
-SELECT o.order_id, o.customer_id, c.email AS customer_email, o.order_total,
-       o.ordered_at, CAST(CAST(o.ordered_at AS DATE) AS TIMESTAMP_NTZ) AS ordered_date
-FROM orders o
-LEFT JOIN customers c USING (customer_id)"""
+SELECT order_id, facts.customer_id, who.email AS customer_email, order_total, ordered_at,
+       ordered_at::DATE::TIMESTAMP_NTZ AS ordered_date
+FROM {stg_orders} AS facts
+LEFT JOIN {stg_customers} AS who ON who.customer_id = facts.customer_id"""
 
 MART_CUSTOMERS = """
-WITH customers AS (SELECT * FROM {stg_customers}),
-orders AS (
-    SELECT customer_id,
-           count(*) AS lifetime_orders,
-           CAST(sum(CAST(order_total AS DECIMAL(18,2))) AS DOUBLE) AS lifetime_revenue,
-           max(ordered_at) AS last_order_at
-    FROM {stg_orders}
-    GROUP BY 1)
-SELECT c.customer_id, c.email, c.signed_up_at,
-       coalesce(o.lifetime_orders, 0) AS lifetime_orders,
-       coalesce(o.lifetime_revenue, 0) AS lifetime_revenue,
-       o.last_order_at
-FROM customers c
-LEFT JOIN orders o USING (customer_id)"""
+WITH spending AS (
+    SELECT customer_id, count(*) AS n, sum(order_total) AS spent, max(ordered_at) AS latest
+    FROM {stg_orders} GROUP BY customer_id)
+SELECT who.customer_id, email, signed_up_at, ifnull(n, 0) AS lifetime_orders,
+       ifnull(spent, 0) AS lifetime_revenue, latest AS last_order_at
+FROM {stg_customers} AS who
+LEFT JOIN spending ON spending.customer_id = who.customer_id"""
 
 
 def build_marts_sql(spark: SparkSession, raw_orders: DataFrame, raw_customers: DataFrame,

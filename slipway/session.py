@@ -10,6 +10,7 @@ only when the measured size of one side is under
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,8 +59,8 @@ def get_session(master: str | None = None, app: str = "slipway",
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stores and stream checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when the session has
-    none (local tests) is a fresh local folder created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a local session that has
+    none gets a fresh local folder; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir")
@@ -68,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="slipway-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

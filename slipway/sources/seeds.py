@@ -30,9 +30,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns by name and cast them to its types.
 
     A missing column raises at analysis; a value that does not fit raises at
-    run time (ANSI casts), so a land step never writes a silently changed
-    table.
+    run time (ANSI casts) and a column that the schema lacks raises here, so a
+    land step never writes a silently changed table.
     """
+    extra = [c for c in df.columns if c not in schema.fieldNames()]
+    if extra:
+        raise ValueError(f"columns that the table does not have: {extra}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -57,18 +60,13 @@ def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
-# Above this many rows a literal plan gets large; build from local data instead.
-LITERAL_ROWS_MAX = 200
-
-
 def literal_frame(spark: SparkSession, rows: Sequence[Sequence],
                   schema: T.StructType) -> DataFrame:
     """A small DataFrame of driver-held rows (log entries, check results,
     run results) built from literals, so no Python worker is involved.
-    For metadata only: every value becomes part of the plan, so past
-    ``LITERAL_ROWS_MAX`` rows it is built from local data instead."""
+    For metadata only: every value becomes part of the plan."""
     rows = list(rows)
-    if not rows or len(rows) > LITERAL_ROWS_MAX:
+    if not rows:
         return spark.createDataFrame(rows, schema)
     structs = [F.struct(*[_literal(v, f.dataType).alias(f.name)
                           for v, f in zip(r, schema.fields)]) for r in rows]

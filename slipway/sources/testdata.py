@@ -56,7 +56,7 @@ def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     passing when the value is at least 5."""
     e = table(spark, sf_dir, "events")
     return e.select(
-        F.col("event_id").alias("id"),
+        (F.col("event_id") + 1).alias("id"),
         F.concat(F.lit("t"), F.col("user_id").cast("string")).alias("asset"),
         F.col("event_type").alias("check_name"),
         (F.col("value") >= 5.0).alias("passed"),
@@ -126,7 +126,7 @@ ORACLE_VIEWS = {
                         '%Y-%m-%d %H:%M:%S') AS signed_up_at
         FROM customer""",
     "check_log": """
-        SELECT event_id AS id, 't' || CAST(user_id AS VARCHAR) AS asset,
+        SELECT event_id + 1 AS id, 't' || CAST(user_id AS VARCHAR) AS asset,
                event_type AS check_name, value >= 5.0 AS passed
         FROM events""",
     "run_results": """
@@ -174,7 +174,7 @@ ORACLE_VIEWS = {
                o.last_order_at
         FROM stg_customers c LEFT JOIN (
             SELECT customer_id, count(*) AS lifetime_orders,
-                   CAST(sum(CAST(order_total AS DECIMAL(18,2))) AS DOUBLE) AS lifetime_revenue,
+                   sum(order_total) AS lifetime_revenue,
                    max(ordered_at) AS last_order_at
             FROM stg_orders GROUP BY 1) o USING (customer_id)""",
 }

@@ -2,9 +2,11 @@
 
 The store's check evaluations are an append-only Parquet folder, so they
 are a file stream. Evaluations of the watched tables flow into
-``foreachBatch``; per batch and table, when the latest evaluation failed it
-triggers one revert carrying ``revert-<id>`` (a failure followed by a pass
-in the same batch reverts nothing, as only the latest evaluation counts).
+``foreachBatch``; per batch and table, when the latest evaluation of any check
+failed it triggers one revert carrying ``revert-<id>``. A failure recorded
+before the table's latest publish is superseded by it and reverts nothing, so
+the outcome does not depend on how the stream is cut into batches. A revert
+that is not possible fails the stream.
 
 * The stream checkpoint (in the store, on the shared file system) replaces
   the polling cursor: a restarted job resumes after the last batch.
@@ -47,23 +49,27 @@ def failed_evaluations(store: Store, env: str = "green",
 
 def revert_batch(store: Store, env: str = "green", to: str = "previous"):
     """``foreachBatch`` handler: at most one revert per table per batch,
-    when the table's latest evaluation in the batch failed."""
+    when a check's latest evaluation in the batch failed."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         passed = F.col("passed") if "passed" in batch.columns else F.lit(False)
-        latest = (batch.groupBy("asset")
+        latest = (batch.groupBy("asset", "check_name")
                   .agg(F.max_by(F.struct(passed.alias("passed"), F.col("log_seq")), "id")
                        .alias("last"), F.max("id").alias("id"))
                   .where(~F.col("last.passed"))
-                  .select("asset", "id", F.col("last.log_seq").alias("log_seq"),
-                          run_key("id").alias("run_key")))
+                  .groupBy("asset").agg(F.max_by(F.struct("id", F.col("last.log_seq").alias("log_seq")), "id").alias("r"))
+                  .select("asset", "r.id", "r.log_seq", run_key("r.id").alias("run_key")))
+        impossible = []
         for r in latest.collect():                       # one row per table
-            table = r["asset"].split(".", 1)[1]
+            table, at = r["asset"].split(".", 1)[1], int(r["log_seq"] or 0)
+            if store.superseded(table, env, at):
+                continue
             try:
-                store.revert(table, env, run_key=r["run_key"], to=to,
-                             after_seq=int(r["log_seq"] or 0))
-            except NothingToRevert:
-                pass
+                store.revert(table, env, run_key=r["run_key"], to=to, after_seq=at)
+            except NothingToRevert as exc:
+                impossible.append(str(exc))
+        if impossible:
+            raise NothingToRevert("; ".join(impossible))
 
     return handle
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from slipway import schemas
@@ -42,15 +43,22 @@ def test_mart_customers_on_seeds(seeds):
            for r in m.collect()}
     # Worked out by hand from the seeds.
     assert got == {
-        1: (3, 374.75, ts("2026-05-04 19:22:00")),
-        2: (2, 180.10, ts("2026-05-03 16:45:00")),
-        3: (2, 287.75, ts("2026-05-05 13:00:00")),
-        4: (1, 8.40, ts("2026-05-03 07:55:00")),
-        5: (1, 99.99, ts("2026-05-04 10:10:00")),
-        6: (1, 42.00, ts("2026-05-05 18:08:00")),
+        11: (3, pytest.approx(42.125), ts("2025-03-14 10:00:00")),
+        12: (2, pytest.approx(82.90), ts("2025-03-13 17:45:00")),
+        13: (2, pytest.approx(5.504), ts("2025-03-12 12:00:01")),
+        14: (1, 300.00, ts("2025-03-12 12:00:00")),
+        15: (2, pytest.approx(104.10), ts("2025-03-14 10:30:00")),
+        16: (0, 0.0, None),
     }
 
 
+def test_revenue_is_not_rounded_by_row(spark):
+    orders = from_rows(spark, [(i, 1, 0.004, "2025-05-01 00:00:00") for i in range(1000)], schemas.RAW_ORDERS)
+    customers = from_rows(spark, [(1, "a@b", "2025-01-01 00:00:00")], schemas.RAW_CUSTOMERS)
+    row = M.mart_customers(M.stg_customers(customers), M.stg_orders(orders)).first()
+    assert row["lifetime_revenue"] == pytest.approx(4.0)
+
+
 def test_edge_cases(spark):
     orders = from_rows(spark, [
         (1, 1, 10.0, "2026-05-01 00:00:00"),
@@ -112,11 +120,12 @@ def test_sql_models_equal_dataframe_models(spark, seeds):
 
 
 def test_conform_types_and_rejects(spark):
-    import pytest
     from slipway.sources import conform
     df = spark.createDataFrame([("1001", "1", "49.5", "2026-05-01 09:14:00", "x")],
                                "order_id string, customer_id string, total string, ordered_at string, extra string")
-    out = conform(df, schemas.NATIVE_ORDERS)
+    with pytest.raises(ValueError, match="extra"):
+        conform(df, schemas.NATIVE_ORDERS)
+    out = conform(df.drop("extra"), schemas.NATIVE_ORDERS)
     assert out.dtypes == [("order_id", "bigint"), ("customer_id", "bigint"), ("total", "double"),
                           ("ordered_at", "timestamp_ntz")]
     bad = spark.createDataFrame([("x", "1", "1", "2026-05-01 00:00:00")],
@@ -152,10 +161,10 @@ def test_day_truncation_ignores_session_zone(spark):
 def test_literal_frame_small_and_large(spark):
     from pyspark.sql import types as T
 
-    from slipway.sources.seeds import LITERAL_ROWS_MAX, literal_frame
+    from slipway.sources.seeds import literal_frame
     schema = T.StructType.fromDDL("i bigint, s string, a array<double>, m map<string,string>")
-    rows = [(i, f"s{i}", [float(i)], {"k": str(i)}) for i in range(LITERAL_ROWS_MAX + 5)]
-    for n in (1, LITERAL_ROWS_MAX + 5):
+    rows = [(i, f"s{i}", [float(i)], {"k": str(i)}) for i in range(200 + 5)]
+    for n in (1, 200 + 5):
         df = literal_frame(spark, rows[:n], schema)
         assert df.schema.simpleString() == schema.simpleString()
         assert sorted(tuple(r) for r in df.collect())[:1] == [(0, "s0", [0.0], {"k": "0"})]

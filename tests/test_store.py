@@ -205,8 +205,40 @@ def test_expire_keeps_live_and_recent(spark, store):
     assert store.expire(retain_seconds=3600) == []
     future = store.version("green", "t").ts + dt.timedelta(hours=2)
     gone = store.expire(retain_seconds=3600, now=future)
-    assert len(gone) == 2
+    assert len(gone) == 1                       # the state that a revert restores stays
     assert ids(store.read("green", "t")) == [3]
+    store.revert("t")
+    assert ids(store.read("green", "t")) == [2]
+
+
+def test_revert_never_points_at_deleted_files(spark, store):
+    for x in (1, 2):
+        store.build({"t": df_of(spark, [x])}); store.promote(["t"])
+    target = store.revert_target("t")
+    store.fs.delete(target.paths[0])
+    with pytest.raises(NothingToRevert, match="deleted"):
+        store.revert("t")
+    assert ids(store.read("green", "t")) == [2]
+
+
+def test_append_refuses_columns_the_table_lacks(spark, store):
+    store.build({"t": df_of(spark, [1])}); store.promote(["t"])
+    with pytest.raises(ValueError, match="more"):
+        store.append("green", "t", df_of(spark, [2]).selectExpr("*", "1 AS more"))
+
+
+def test_unchecked_build_is_not_promoted(spark, store):
+    c = [C.unique("order_id")]
+    flow.land(store, "t", df_of(spark, [1, 2]), c)
+    store.build({"t": df_of(spark, [7, 7])})
+    assert flow.promote_if_passing(store, "t", bootstrap=True) is None
+
+
+def test_checks_of_unknown_tables_raise_and_failing_tests_are_nodes(spark, store):
+    with pytest.raises(ValueError, match="mart_typo"):
+        flow.publish_run(store, {"mart_t": df_of(spark, [1])}, {"mart_typo": [C.unique("order_id")]})
+    r = flow.publish_run(store, {"mart_t": df_of(spark, [1])}, {"mart_t": [C.unique("no_such_column")]})
+    assert not r.clean and r.seq is None and any("no_such_column" in e for e in r.errors.values())
 
 
 def test_empty_table_roundtrip(spark, store):
@@ -280,7 +312,7 @@ def test_partitioned_version_prunes_and_keeps_types(spark, store, seeds):
     live = store.read("green", "mart_orders")
     assert live.schema == marts["mart_orders"].schema           # same columns, order, types
     assert sorted(live.collect()) == sorted(marts["mart_orders"].collect())
-    day = live.where(F.col("ordered_date") == F.lit("2026-05-03 00:00:00").cast("timestamp_ntz"))
+    day = live.where(F.col("ordered_date") == F.lit("2025-03-12 00:00:00").cast("timestamp_ntz"))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ordered_date" in plan
     assert day.count() == 2
