@@ -58,3 +58,27 @@ def test_failure_then_pass_in_one_batch_reverts_nothing(spark, store):
     q.awaitTermination(120)
     assert store.history("green", "t").where("action = 'revert'").count() == 0
     assert ids(store.read("green", "t")) == [3]
+
+
+def test_pass_of_another_check_hides_no_failure(spark, store):
+    from slipway.operators import checks as C
+    from slipway.plans import flow
+    rows = lambda *x: spark.createDataFrame([(i,) for i in x], "order_id bigint")
+    store.build({"t": rows(1)}); store.promote(["t"])
+    store.build({"t": rows(1, 2)}); store.promote(["t"])
+    store.append("green", "t", rows(2))
+    flow.evaluate(store, "green", "t", [C.unique("order_id"), C.not_null("order_id")])
+    revert_on_failure(store).awaitTermination()
+    assert sorted(r[0] for r in store.read("green", "t").collect()) == [1]
+
+
+def test_failure_before_the_latest_publish_reverts_nothing(spark, store):
+    from slipway.operators import checks as C
+    from slipway.plans import flow
+    rows = lambda *x: spark.createDataFrame([(i,) for i in x], "order_id bigint")
+    store.build({"t": rows(1)}); store.promote(["t"])
+    store.append("green", "t", rows(1))
+    flow.evaluate(store, "green", "t", [C.unique("order_id")])
+    store.build({"t": rows(5, 6)}); store.promote(["t"])
+    revert_on_failure(store).awaitTermination()
+    assert sorted(r[0] for r in store.read("green", "t").collect()) == [5, 6]
