@@ -39,6 +39,7 @@ from slipway.llm.stored import stored
 
 BLOCK_DOCUMENTS = 512
 BLOCK_SHINGLES = 1_000_000
+POSTINGS_PER_BUCKET = 1 << 17
 _A, _B = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 
 
@@ -125,9 +126,9 @@ def _dealt(by: np.ndarray, buckets: int, keys, tokens_=None, counts=None):
     """Rows of ``PACKED``: the arrays split by ``by`` modulo ``buckets``."""
     bucket = (by % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    full = np.flatnonzero(np.diff(cut))
-    parts = lambda x: pa.array([None if x is None else x[order[cut[k]:cut[k + 1]]].tobytes() for k in full],
+    full, cut = np.unique(bucket[order], return_index=True)
+    spans = list(zip(cut.tolist(), [*cut[1:].tolist(), len(order)]))
+    parts = lambda x: pa.array([None if x is None else x[order[a:b]].tobytes() for a, b in spans],
                                pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), parts(keys), parts(tokens_), parts(counts)],
                                       ["bucket", "keys", "tokens", "counts"])
@@ -161,7 +162,8 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between digests of classes that connect every two classes that may be similar."""
     spark = sets.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
+    postings = sets.agg(F.sum(F.size("head"))).first()[0] or 0
+    buckets = max(1, -(-postings // POSTINGS_PER_BUCKET))
 
     def post(batches):
         for batch in batches:
@@ -207,7 +209,7 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
             take = np.maximum(found - need + 1, 0)
             cells = np.arange(int(take.sum())) + np.repeat(first - np.cumsum(take) + take, take)
             if len(cells):
-                yield _dealt(toks[cells], parts, keys[cells], toks[cells])
+                yield _dealt(toks[cells], buckets, keys[cells], toks[cells])
 
     def star(batches):
         for rows in _buckets(batches):
