@@ -130,11 +130,19 @@ def _tag(df, model):
     return df.select(F.lit(model).alias("model"), "*")
 
 
+def _built(spark, sf_dir):
+    """Both marts as written, so that a test reads their keys and rebuilds nothing."""
+    store = Store.scratch(spark)
+    store.build(_marts(spark, sf_dir))
+    return store.snapshot("blue")
+
+
 def q_generic_not_null(spark, sf_dir):
     o, c = _stg(spark, sf_dir)
+    marts = _built(spark, sf_dir)
     parts = [("stg_orders", o, "order_id"), ("stg_customers", c, "customer_id"),
-             ("mart_orders", M.mart_orders(o, c), "order_id"),
-             ("mart_customers", M.mart_customers(c, o), "customer_id")]
+             ("mart_orders", marts.read("mart_orders"), "order_id"),
+             ("mart_customers", marts.read("mart_customers"), "customer_id")]
     out = None
     for model, df, col in parts:
         r = _tag(C.run_checks(df, [C.not_null(col)]), model)
@@ -143,11 +151,11 @@ def q_generic_not_null(spark, sf_dir):
 
 
 def q_generic_unique(spark, sf_dir):
-    o, c = _stg(spark, sf_dir)
-    a = _tag(C.run_checks(M.mart_orders(o, c), [C.unique("order_id", ignore_nulls=True)]),
+    marts = _built(spark, sf_dir)
+    a = _tag(C.run_checks(marts.read("mart_orders"), [C.unique("order_id", ignore_nulls=True)]),
              "mart_orders")
-    b = _tag(C.run_checks(M.mart_customers(c, o), [C.unique("customer_id", ignore_nulls=True)]),
-             "mart_customers")
+    b = _tag(C.run_checks(marts.read("mart_customers"),
+                          [C.unique("customer_id", ignore_nulls=True)]), "mart_customers")
     return a.unionByName(b)
 
 
@@ -276,10 +284,12 @@ def q_swap_roundtrip(spark, sf_dir):
 
 
 def _corrupted_live(spark, sf_dir):
-    """Two clean publishes, then one live row appended to green twice over."""
+    """Two clean publishes that differ in every order, then one live row appended to green twice over."""
     store = Store.scratch(spark)
-    for _ in range(2):
-        flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
+    marts = _marts(spark, sf_dir)
+    first = marts["mart_orders"].withColumn("order_total", F.col("order_total") + 1)
+    flow.publish_run(store, dict(marts, mart_orders=first), MART_CHECKS)
+    flow.publish_run(store, marts, MART_CHECKS)
     live = store.read("green", "mart_orders")
     store.append("green", "mart_orders", live.orderBy("order_id").limit(1))
     flow.check_live(store, "mart_orders", key="order_id")
@@ -287,7 +297,10 @@ def _corrupted_live(spark, sf_dir):
 
 
 def q_revert_roundtrip(spark, sf_dir):
+    """A revert after days without a publish: what it restores has not expired."""
+    import datetime as dt
     store = _corrupted_live(spark, sf_dir)
+    store.expire(now=store.version("green", "mart_orders").ts + dt.timedelta(days=3))
     done, _ = flow.remediate(store, cursor=0, check_name="no_duplicate_order_ids")
     assert done == ["mart_orders"], done
     return store.read("green", "mart_orders")
@@ -334,11 +347,12 @@ def q_store_append(spark, sf_dir):
 
 
 def q_expire_roundtrip(spark, sf_dir):
-    """Two publishes, then expire everything outside a zero-second window as
-    seen from a day later: superseded versions go, live data stays."""
+    """Three publishes, then expire everything outside a zero-second window as
+    seen from a day later: the first versions go, what is live and what a
+    revert restores stays."""
     import datetime as dt
     store = Store.scratch(spark)
-    for _ in range(2):
+    for _ in range(3):
         flow.publish_run(store, _marts(spark, sf_dir), MART_CHECKS)
     later = store.version("green", "mart_orders").ts + dt.timedelta(days=1)
     gone = store.expire(retain_seconds=0, now=later)
@@ -528,6 +542,11 @@ _CUSTOMERS_SQL = TD.oracle_with("mart_customers") + """
     SELECT * REPLACE (round(lifetime_revenue, 2) AS lifetime_revenue) FROM mart_customers"""
 
 
+# what the first of the two publishes of _corrupted_live served
+_FIRST_ORDERS_SQL = TD.oracle_with("mart_orders") + """
+    SELECT * REPLACE (order_total + 1 AS order_total) FROM mart_orders"""
+
+
 def oracle_sql() -> dict[str, str]:
     return own_oracle_sql() | (LLM.oracle_sql() if LLM else {})
 
@@ -621,8 +640,8 @@ def own_oracle_sql() -> dict[str, str]:
                 UNION ALL (SELECT * FROM mart_orders ORDER BY order_id LIMIT 1))
             UNION ALL
             SELECT 'blue' AS env, * FROM mart_orders""",
-        "revert_roundtrip": _view("mart_orders"),
-        "stream_revert": _view("mart_orders"),
+        "revert_roundtrip": _FIRST_ORDERS_SQL,
+        "stream_revert": _FIRST_ORDERS_SQL,
         "revert_by_time": _view("mart_orders"),
         "store_append": w("mart_orders") + """
             SELECT * FROM mart_orders
@@ -651,7 +670,7 @@ def own_oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 5, 'green', 'mart_orders', 'publish', o, 'run-3' FROM n
                 UNION ALL SELECT 6, 'green', 'mart_orders', 'append', o + 1, NULL FROM n
                 UNION ALL SELECT 7, 'green', 'mart_orders', 'revert', o, 'revert-9' FROM n)""",
-        "remediate_batch": _view("mart_orders"),
+        "remediate_batch": _FIRST_ORDERS_SQL,
         "blocked_promotion": _CUSTOMERS_SQL,
         "clone_env": w("mart_orders", "mart_customers") + """
             SELECT 'mart_customers' AS table_name, 'clone' AS action,

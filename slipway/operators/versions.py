@@ -17,6 +17,11 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Types that an aggregate's hash map updates in place.
+FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+               T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 STATE_COLS = ("seq", "ts", "action", "paths", "row_count", "run_key", "schema_json",
               "published_seq", "prev_seq")
@@ -34,9 +39,16 @@ def like(value: str, pattern: str) -> bool:
 
 def latest_by(df: DataFrame, keys, order: str, cols) -> DataFrame:
     """Latest row per key by ``order`` (ties impossible when ``order`` is
-    unique per key), as a partial aggregate rather than a sort."""
+    unique per key), as a partial aggregate rather than a window.
+
+    When all columns are of fixed width each is taken along on its own, which
+    plans as a hash aggregate; one struct of them would be sorted first.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = [c for c in cols if c not in keys]
+    if all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in cols):
+        return df.groupBy(*keys).agg(*[F.max(c).alias(c) if c == order else F.max_by(c, order).alias(c)
+                                       for c in cols])
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*cols), F.col(order)).alias("_v"))
             .select(*keys, "_v.*"))

@@ -80,3 +80,14 @@ def test_observed_checks_match(spark, store):
 def test_duplicate_keys(spark):
     df = native(spark, [(1, 1, 1.0), (1, 1, 1.0), (2, 1, 1.0)])
     assert [(r["order_id"], r["n"]) for r in C.duplicate_keys(df, "order_id").collect()] == [(1, 2)]
+
+
+def test_nested_and_overlapping_key_sets_match_separate_checks(spark):
+    rows = [(1, 1, None), (1, 1, 2), (1, 2, 2), (2, None, 3), (2, None, 3), (None, 1, 3), (None, 1, None)]
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    suite = [C.unique("a"), C.unique("a", "b"), C.unique("b", "c"), C.unique("a", "b", "c"), C.unique("c"),
+             C.unique("a", name="skip", ignore_nulls=True), C.unique("a", "b", name="skip2", ignore_nulls=True),
+             C.row_count_positive(), C.not_null("b")]
+    for data in (df, df.limit(0)):
+        together = sorted(map(tuple, C.run_checks(data, suite).collect()), key=str)
+        assert together == sorted(map(tuple, C.run_each(data, suite).collect()), key=str)

@@ -429,3 +429,38 @@ def test_two_failing_checks_one_revert(spark, store):
     assert done == ["t"]
     assert store.history("green", "t").where("action = 'revert'").count() == 1
     assert flow.remediate(store, cursor=0)[0] == []                      # replay: nothing
+
+
+def test_publish_during_append_stays(spark, store):
+    store.build({"t": df_of(spark, [3, 4])}, env="blue")
+    store.promote(["t"])
+    write = store.write_version
+
+    def publish_meanwhile(*args, **kwargs):
+        written = write(*args, **kwargs)
+        store.write_version = write
+        store.build({"t": df_of(spark, [50, 60])}, env="blue")
+        store.promote(["t"])
+        return written
+
+    store.write_version = publish_meanwhile
+    store.append("green", "t", df_of(spark, [9]))
+    assert ids(store.read("green", "t")) == [9, 50, 60]
+    assert store.version("green", "t").row_count == 3
+
+
+def test_appends_are_read_by_one_scan_and_keep_the_layout(spark, store):
+    store.build({"plain": df_of(spark, [1])}, env="green")
+    store.build({"laid": df_of(spark, [1, 2])}, env="green", layouts={"laid": ["customer_id"]})
+    for i in (5, 6, 7):
+        store.append("green", "plain", df_of(spark, [i]))
+        store.append("green", "laid", df_of(spark, [i]))
+    assert ids(store.read("green", "plain")) == [1, 5, 6, 7]
+    assert ids(store.read("green", "laid")) == [1, 2, 5, 6, 7]
+    plan = store.read("green", "plain")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    for folder in store.version("green", "laid").paths:
+        assert store.fs.list_dirs(folder) == ["customer_id=1"]
+    # rows of a laid-out table written elsewhere without a layout are read without one
+    store.build({"copy": store.read("green", "laid")}, env="blue")
+    assert ids(store.read("blue", "copy")) == [1, 2, 5, 6, 7]

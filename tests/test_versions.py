@@ -45,3 +45,14 @@ def test_freshness(spark):
     ])
     got = {r["table_name"]: (r["fresh"], r["bootstrap"]) for r in V.freshness(log).collect()}
     assert got == {"a": (True, False), "b": (False, True), "c": (False, False)}
+
+
+def test_latest_by_keeps_null_keys_and_hashes_fixed_width_columns(spark):
+    rows = [(None, 1, "a", True), (None, 3, "b", False), ("x", 2, "c", True), ("x", 1, "d", False)]
+    df = spark.createDataFrame(rows, "k string, id bigint, word string, ok boolean")
+    for cols, want in ((["id", "ok"], {(None, 3, False), ("x", 2, True)}),
+                       (["id", "word"], {(None, 3, "b"), ("x", 2, "c")})):
+        out = V.latest_by(df, "k", "id", cols)
+        assert set(map(tuple, out.collect())) == want
+        sorts = "SortAggregate" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorts == ("word" in cols)
