@@ -3,9 +3,12 @@
 A text is lower-cased and cut into sentences at sentence ends, once over line
 ends and once at them too; other signs and white space become one space. A
 sentence equal to a known licence sentence becomes its identifier, others are
-left out. A rule is the ordered identifiers of one licence text; it matches if
-a document holds them in that order, other known sentences may stand between.
-All of it is built-in column functions in one scan.
+left out. Of a notice ("this work is licensed under the ...", an SPDX line)
+only the licence named counts, without words like "license" and "version", so
+every usual wording of it has one identifier. A rule is the ordered identifiers
+of one licence text; it matches if a document holds them in that order, other
+known sentences may stand between. All of it is built-in column functions in
+one scan. A name without a version gives the family ("GPL", "CC-BY").
 
 Edge cases: a null or empty text has no identifiers and no licence; texts of
 any length are scanned whole; equal rows give equal rows; an empty table gives
@@ -78,25 +81,152 @@ LICENCE_TEXTS = {
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
         "this work.",
         "SPDX-License-Identifier: CC0-1.0"],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."],
+    "LGPL-3.0": [
+        f"This {x} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version." for x in ("library", "program")],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."],
+    "BSL-1.0": [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit "
+        "third-parties to whom the Software is furnished to do so, all subject to the following:",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at"],
+    "Zlib": [
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions:"],
+    "WTFPL": ["You just DO WHAT THE FUCK YOU WANT TO."],
 }
 
+# Names of public licences, "/" between them, in any wording that reduced() makes equal.
+LICENCE_NAMES = {
+    "MIT": "MIT/MIT (MIT)/Expat/MIT (Expat)/MIT/X11/Massachusetts Institute of Technology",
+    "MIT-0": "MIT-0/MIT No Attribution/MIT No Attribution (MIT-0)",
+    "Apache-2.0": "Apache 2/Apache Software 2/Apache2/ASL 2/AL2/Apache 2 (Apache-2.0)/Apache 2 (the License)/ASF 2",
+    "Apache-1.1": "Apache 1.1/Apache Software 1.1", "Apache": "Apache/Apache Software/ASL",
+    "0BSD": "0BSD/BSD Zero Clause/Zero Clause BSD/BSD 0 Clause",
+    "BSD-2-Clause": "BSD 2 Clause/2 Clause BSD/Simplified BSD/FreeBSD/BSD 2/Two Clause BSD/BSD Two Clause/BSD 2 Clause Simplified",
+    "BSD-3-Clause": "BSD 3 Clause/3 Clause BSD/New BSD/Modified BSD/Revised BSD/BSD 3/Three Clause BSD/BSD Three Clause/"
+                    "BSD 3 Clause New or Revised/New or Revised BSD",
+    "BSD-4-Clause": "BSD 4 Clause/4 Clause BSD/Original BSD/Old BSD/BSD 4 Clause Original or Old",
+    "BSD": "BSD/BSD Style", "ISC": "ISC/ISC (ISC)/Internet Systems Consortium", "Unlicense": "Unlicense",
+    "Zlib": "zlib/zlib libpng/zlib png", "WTFPL": "WTFPL/WTFPL 2/Do What The Fuck You Want To/"
+                                                    "Do What The Fuck You Want To Public License 2",
+    "BSL-1.0": "Boost/Boost 1/BSL 1/Boost 1 (BSL-1.0)", "BUSL-1.1": "BUSL 1.1/Business Source 1.1/Business Source",
+    "MPL-1.1": "Mozilla 1.1/MPL 1.1", "MPL-2.0": "Mozilla 2/MPL 2/Mozilla 2 (MPL-2.0)/Mozilla (MPL) 2/MPL2",
+    "MPL": "Mozilla/MPL", "EPL-1.0": "Eclipse 1/EPL 1/Eclipse 1 (EPL-1.0)",
+    "EPL-2.0": "Eclipse 2/EPL 2/Eclipse 2 (EPL-2.0)/Eclipse (EPL) 2", "EPL": "Eclipse/EPL",
+    "EDL-1.0": "Eclipse Distribution 1/EDL 1/Eclipse Distribution", "CDDL-1.0": "Common Development and Distribution 1/CDDL 1",
+    "CDDL-1.1": "Common Development and Distribution 1.1/CDDL 1.1", "CDDL": "Common Development and Distribution/CDDL",
+    "CPL-1.0": "Common Public 1/CPL 1", "EUPL-1.1": "European Union 1.1/EUPL 1.1",
+    "EUPL-1.2": "European Union 1.2/EUPL 1.2/European Union (EUPL) 1.2", "EUPL": "European Union/EUPL",
+    "Artistic-1.0": "Artistic 1", "Artistic-2.0": "Artistic 2", "Artistic": "Artistic/Perl Artistic",
+    "AFL-3.0": "Academic Free 3/AFL 3", "OSL-3.0": "Open Software 3/OSL 3/Open 3", "MS-PL": "Microsoft/MS PL/Microsoft (MS-PL)",
+    "MS-RL": "Microsoft Reciprocal/MS RL", "NCSA": "University of Illinois NCSA Open Source/NCSA/UIUC",
+    "PostgreSQL": "PostgreSQL", "Python-2.0": "Python 2/Python Software Foundation 2/PSF 2/PSF/PSF 2.0/Python Software Foundation",
+    "PHP-3.01": "PHP 3.01", "Ruby": "Ruby", "OFL-1.1": "SIL Open Font 1.1/OFL 1.1/SIL OFL 1.1/Open Font 1.1/SIL Open Font",
+    "UPL-1.0": "Universal Permissive 1/UPL 1/Universal Permissive", "OpenSSL": "OpenSSL", "Vim": "Vim", "curl": "curl",
+    "BlueOak-1.0.0": "Blue Oak Model 1/BlueOak 1", "MulanPSL-2.0": "Mulan Permissive 2/MulanPSL 2/Mulan PSL 2",
+    "ECL-2.0": "Educational Community 2/ECL 2", "W3C": "W3C/W3C Software Notice and", "X11": "X11", "HPND": "HPND",
+    "CECILL-2.1": "CeCILL 2.1", "CECILL-B": "CeCILL B", "CECILL-C": "CeCILL C", "CECILL-2.0": "CeCILL 2/CeCILL",
+    "SSPL-1.0": "Server Side 1/SSPL 1/Server Side", "Elastic-2.0": "Elastic 2", "QPL-1.0": "Q 1/QPL 1", "QPL": "QPL",
+    "ODbL-1.0": "Open Database 1/ODbL 1/Open Data Commons Open Database 1/Open Database/ODbL/ODC Open Database/"
+                "Open Data Commons Open Database/Open Database (ODbL)/Open Database (ODbL) 1",
+    "ODC-By-1.0": "ODC By 1/ODC By/Open Data Commons Attribution/Open Data Commons Attribution 1", "PDDL-1.0": "PDDL 1/PDDL/"
+    "Open Data Commons Public Domain Dedication and", "GFDL-1.1": "GNU Free Documentation 1.1/GFDL 1.1",
+    "GFDL-1.2": "GNU Free Documentation 1.2/GFDL 1.2", "GFDL-1.3": "GNU Free Documentation 1.3/GFDL 1.3",
+    "GFDL": "GNU Free Documentation/GFDL/FDL", "OGL-UK-3.0": "Open Government 3/OGL 3/OGL UK 3", "OGL-UK": "Open Government/OGL",
+    "CDLA-Permissive-2.0": "CDLA Permissive 2/Community Data Agreement Permissive 2",
+    "CDLA-Permissive-1.0": "CDLA Permissive 1/Community Data Agreement Permissive 1",
+    "CDLA-Sharing-1.0": "CDLA Sharing 1/Community Data Agreement Sharing 1",
+    "CC0-1.0": "CC0/CC0 1/CC0 1 Universal/Creative Commons Zero/Creative Commons Zero 1 Universal/Creative Commons CC0/"
+               "Creative Commons Zero 1/Creative Commons CC0 1/Creative Commons CC0 1 Universal/CC Zero/"
+               "CC0 1 Universal Public Domain Dedication/Creative Commons CC0 1 Universal Public Domain Dedication",
+}
+for _short, _long, _versions in (
+        ("GPL", ["General"], ["1", "2", "3"]), ("LGPL", ["Lesser General", "Library General"], ["2", "2.1", "3"]),
+        ("AGPL", ["Affero General"], ["1", "3"])):
+    _titles = [*_long, _short, *(f"{x} ({_short})" for x in _long)]
+    LICENCE_NAMES[_short] = "/".join(_titles)
+    for _v in _versions:
+        _name = f"{_short}-{_v if '.' in _v else _v + '.0'}"
+        LICENCE_NAMES[_name] = "/".join(
+            [f"{x} {_v}/{_v} of {x}" for x in _titles] + [f"{_short}v{_v}/{_short}{_v}"]
+            + [f"{x} {_v} ({y})" for x in _long for y in (f"{_short} {_v}", f"{_short}v{_v}", f"{_short}{_v}", _short)])
+_WORDS = {"by": ["Attribution"], "nc": ["NonCommercial", "Non Commercial"], "sa": ["ShareAlike", "Share Alike"],
+          "nd": ["NoDerivatives", "No Derivatives", "NoDerivs", "NoDerivative Works", "No Derivative Works"]}
+for _kind in ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"):
+    _long = [""]
+    for _w in _kind.split():
+        _long = [f"{x} {w}" for x in _long for w in _WORDS[_w]]
+    for _v in ("", "1", "2", "2.5", "3", "4"):
+        _cc = f"CC {_kind} {_v}"
+        _titles = [f"{x} {_v}" for x in (f"CC {_kind}", f"Creative Commons {_kind}", f"Creative Commons CC {_kind}",
+                                         *(f"Creative Commons{x}" for x in _long), *(f"CC{x}" for x in _long))]
+        _titles += [f"Creative Commons{x} {_v} ({_cc})" for x in _long] + [f"Creative Commons{x} ({_cc})" for x in _long]
+        _name = f"CC-{_kind.upper().replace(' ', '-')}" + (f"-{_v if '.' in _v else _v + '.0'}" if _v else "")
+        LICENCE_NAMES[_name] = "/".join(_titles)
+LICENCE_NAMES["CC"] = "Creative Commons"
+
 SENTENCE_END = "[.;:!?]+([\\x09-\\x0D\\x20]+|$)"
+SHORT = "\\bv(er)?[.][\\x09-\\x0D\\x20]+([0-9])"
 LINE_END = "[\\x0A\\x0D]+"
 NOISE = "[^a-z0-9|]+"
+#: what stands before the name of a licence, behind a sentence end
+NOTICE = ("(^|[|]) ?(spdx license identifier[ |]*|(((this|the|these|all|our|that|your|my|its)( [a-z0-9]+){1,8}? (is|are|be)|it is|"
+          "they are|code|we are|you may use it) )?((dual|also|hereby|now|freely|openly|currently|made|being) )?"
+          "(licen[cs]ed|released|distributed|published|provided|available|offered|shared|covered|issued|redistributable) "
+          "(to you |for use |to the public )?(under|by|with|according to) (the )?((terms|conditions|provisions)"
+          "( and conditions)? (of|in) )?(the |a |an )?)")
+#: what can follow the name
+AFTER = (" (see|https?|www|which|whose|as published|only|or later|or newer|or higher|or any later|or at your option|and later|"
+         "available|found|a copy|in the|by the|with|for details|for more|unless|you may|except|where) ?.*$")
+#: words that make no other licence
+SMALL = "\\b(licen[cs]es?|version|v|the|gnu|international|intl|unported|generic|public|of|software|0)\\b"
+
+
+def reduced(name: str) -> str:
+    """A notice "under ..." as the name alone."""
+    name = re.sub(AFTER, "", name + " ")
+    return " ".join(re.sub(SMALL, " ", re.sub("\\bv([0-9])", "\\1", name)).split())
 
 
 def sentences(text: str) -> list[str]:
-    parts = re.sub(NOISE, " ", re.sub(SENTENCE_END, "|", text.lower().replace("|", " "))).split("|")
-    return [p.strip() for p in parts if p.strip()]
+    text = re.sub(NOISE, " ", re.sub(SENTENCE_END, "|", re.sub(SHORT, "v \\2", text.lower().replace("|", " "))))
+    parts = [p.strip() for p in re.sub(NOTICE, "|under ", text).split("|")]
+    return [reduced(p) if p.startswith("under ") else p for p in parts if p]
 
 
 def rules(texts: dict[str, list[str]] | None = None) -> tuple[dict[str, int], list[tuple[str, list[int]]]]:
     """Identifiers of the sentences, and (licence, identifiers in order) rules."""
     known: dict[str, int] = {}
     found = []
+    if texts is None:
+        for licence, names in LICENCE_NAMES.items():
+            for name in [licence, *names.split("/")]:
+                notice, = sentences(f"licensed under {name}")
+                if notice not in known:
+                    known[notice] = next((i[0] for x, i in found if x == licence), len(found) + 1)
+                    if known[notice] > len(found):
+                        found.append((licence, [known[notice]]))
+    last = max(known.values(), default=0)
     for licence, versions in (LICENCE_TEXTS if texts is None else texts).items():
         for text in versions:
-            found.append((licence, [known.setdefault(s, len(known) + 1) for s in sentences(text)]))
+            ids = []
+            for s in sentences(text):
+                if s not in known:
+                    last += 1
+                    known[s] = last
+                ids.append(known[s])
+            if (licence, ids) not in found:
+                found.append((licence, ids))
     return known, found
 
 
@@ -105,16 +235,37 @@ def pattern(ids: list[int]) -> str:
     return "," + ",([0-9]+,)*".join(map(str, ids)) + ","
 
 
+def patterns(found: list[tuple[str, list[int]]]) -> dict[str, list[str]]:
+    """Patterns of each licence, by name."""
+    by_name: dict[str, list[str]] = {}
+    for licence, ids in sorted(found):
+        by_name.setdefault(licence, []).append(pattern(ids))
+    return by_name
+
+
 def _ids(text: Column, known: dict[str, int], at_lines: bool) -> Column:
-    text = F.translate(F.lower(F.coalesce(text, F.lit(""))), "|", " ")
+    text = F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "|", " "), SHORT, "v $2")
     if at_lines:
         text = F.regexp_replace(text, LINE_END, "|")
     text = F.regexp_replace(F.regexp_replace(text, SENTENCE_END, "|"), NOISE, " ")
-    table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    found = F.filter(F.transform(F.split(text, "[|]"), lambda s: F.try_element_at(table, F.trim(s))),
-                     lambda i: i.isNotNull())
-    return F.when(F.size(found) > 0, F.concat(F.lit(","), F.array_join(F.transform(found, lambda i: i.cast("string")), ","),
-                                              F.lit(","))).otherwise("")
+    text = F.regexp_replace(text, NOTICE, "|under ")
+    notices = {s: i for s, i in known.items() if s.startswith("under ")}
+    others = {s: i for s, i in known.items() if s not in notices}
+
+    def look(table, s):
+        both = (F.split(F.lit("|".join(map(str, x))), "[|]") for x in (table.keys(), table.values()))
+        return F.try_element_at(F.map_from_arrays(*both), s) if table else F.lit(None).cast("string")
+
+    def name(s):
+        s = F.regexp_replace(F.regexp_replace(F.concat(s, F.lit(" ")), AFTER, ""), "\\bv([0-9])", "$1")
+        return F.trim(F.regexp_replace(F.regexp_replace(s, SMALL, " "), " +", " "))
+
+    def identifier(s):
+        s = F.trim(s)
+        return F.when(s.startswith("under "), look(notices, name(s))).otherwise(look(others, s))
+
+    found = F.filter(F.transform(F.split(text, "[|]"), identifier), lambda i: i.isNotNull())
+    return F.when(F.size(found) > 0, F.concat(F.lit(","), F.array_join(found, ","), F.lit(","))).otherwise("")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -123,35 +274,34 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known, found = rules(texts)
     marked = docs.select(F.col(id_col), _ids(F.col(text_col), known, False).alias("sentence_ids"),
                          _ids(F.col(text_col), known, True).alias("line_ids"))
-    hit = {}
-    for licence, ids in found:
-        p = pattern(ids)
-        one = F.col("sentence_ids").rlike(p) | F.col("line_ids").rlike(p)
-        hit[licence] = hit[licence] | one if licence in hit else one
-    names = F.array_join(F.array_sort(F.array_compact(F.array(*(F.when(c, F.lit(x)) for x, c in hit.items())))), ",")
-    return marked.withColumn("licences", names)
+    both = F.concat("sentence_ids", F.lit("#"), "line_ids")
+    names = F.array_join(F.array_compact(F.array(*(F.when(both.rlike("|".join(ps)), F.lit(x))
+                                                   for x, ps in patterns(found).items()))), ",")
+    return marked.withColumn("licences", F.when(both == "#", "").otherwise(names))
 
 
 def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> str:
     """The same in DuckDB SQL."""
     known, found = rules()
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    names = ", ".join(map(quoted, known))
-    base = f"translate(lower(coalesce({text_col}, '')), '|', ' ')"
+    notices = [s for s in known if s.startswith("under ")]
+    others = [s for s in known if not s.startswith("under ")]
+    base = f"regexp_replace(translate(lower(coalesce({text_col}, '')), '|', ' '), '{SHORT}', 'v \\2', 'g')"
     at_lines = f"regexp_replace({base}, '[\\x0A\\x0D]+', '|', 'g')"
 
     def ids(text):
         cut = f"regexp_replace(regexp_replace({text}, '[.;:!?]+([\\x09-\\x0D\\x20]+|$)', '|', 'g'), '[^a-z0-9|]+', ' ', 'g')"
-        got = (f"list_filter(list_transform(string_split({cut}, '|'), lambda s: list_position([{names}], trim(s))), "
-               "lambda i: coalesce(i, 0) > 0)")
+        cut = f"regexp_replace({cut}, {quoted(NOTICE)}, '|under ', 'g')"
+        name = f"regexp_replace(regexp_replace(trim(s) || ' ', {quoted(AFTER)}, ''), '\\bv([0-9])', '\\1', 'g')"
+        name = f"trim(regexp_replace(regexp_replace({name}, {quoted(SMALL)}, ' ', 'g'), ' +', ' ', 'g'))"
+        look = lambda names, x: (f"[{', '.join(str(known[n]) for n in names)}]"
+                                 f"[list_position([{', '.join(map(quoted, names))}], {x})]")
+        one = f"CASE WHEN starts_with(trim(s), 'under ') THEN {look(notices, name)} ELSE {look(others, 'trim(s)')} END"
+        got = f"list_filter(list_transform(string_split({cut}, '|'), lambda s: {one}), lambda i: i IS NOT NULL)"
         return f"coalesce(',' || nullif(array_to_string({got}, ','), '') || ',', '')"
 
-    by_name: dict[str, list[str]] = {}
-    for licence, i in found:
-        by_name.setdefault(licence, []).append(pattern(i))
-    hits = ", ".join(
-        "CASE WHEN " + " OR ".join(f"regexp_matches(sentence_ids, {quoted(p)}) OR regexp_matches(line_ids, {quoted(p)})"
-                                   for p in ps) + f" THEN {quoted(x)} END" for x, ps in sorted(by_name.items()))
+    hits = ", ".join(f"CASE WHEN regexp_matches(sentence_ids || '#' || line_ids, {quoted('|'.join(ps))}) THEN {quoted(x)} END"
+                     for x, ps in patterns(found).items())
     return f"""SELECT {id_col}, sentence_ids, line_ids,
                       array_to_string(list_filter([{hits}], lambda x: x IS NOT NULL), ',') AS licences
                FROM (SELECT {id_col}, {ids(base)} AS sentence_ids, {ids(at_lines)} AS line_ids FROM {table})"""

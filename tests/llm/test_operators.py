@@ -246,6 +246,38 @@ def test_licences(spark):
     assert "Apache-2.0" in got[9] and license_rules.scan(frame(spark, []).limit(0)).count() == 0
 
 
+def licences(spark, texts):
+    """Of each text in Spark, after the DuckDB form gave the same."""
+    import duckdb
+    rows = list(enumerate(texts))
+    got = {r.doc_id: tuple(r)[1:] for r in license_rules.scan(frame(spark, rows)).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == {r[0]: r[1:] for r in con.execute(license_rules.scan_sql()).fetchall()}
+    return [got[i][-1] for i in range(len(texts))]
+
+
+def test_licence_notices_in_any_usual_wording(spark):
+    wanted = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "x y. Licensed under CC BY-NC 4.0. More.": "CC-BY-NC-4.0",
+        "This library is distributed under the terms of the GNU LGPL v2.1 or later.": "LGPL-2.1",
+        "This project is licensed under the MIT License - see the LICENSE.md file for details.": "MIT",
+        "// SPDX-License-Identifier: AGPL-3.0-or-later\ncode": "AGPL-3.0",
+        "Released under version 2 of the GNU General Public License.": "GPL-2.0",
+        "Distributed under the GPL.": "GPL", "Licensed under the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License.":
+            "CC-BY-NC-SA-3.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+        "Distributed by the GPL team.": "", "He is licensed under the new law.": "", "MIT": ""}
+    assert licences(spark, wanted) == list(wanted.values())
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    noticed = docs.where(F.col("text").rlike("(?i)(licensed|released) under (the )?(GNU|CC|MIT|Apache)"))
+    assert license_rules.scan(noticed).where("licences = ''").count() == 0
+
+
 # --- 7
 
 def brute_components(rows, words, percent):
