@@ -1,7 +1,8 @@
 """Licence scans by recognising sentences and ordered rules over them.
 
 A text is lower-cased and cut into sentences at sentence ends, once over line
-ends and once at them too; other signs and white space become one space. A
+ends but not over blank lines (also behind comment marks) and copyright lines,
+and once at all line ends; other signs and white space become one space. A
 sentence equal to a known licence sentence becomes its identifier, others are
 left out. Of a notice ("this work is licensed under the ...", an SPDX line)
 only the licence named counts, without words like "license" and "version", so
@@ -35,6 +36,7 @@ LICENCE_TEXTS = {
         "This project is licensed under the MIT License.", "This software is released under the MIT License.",
         "SPDX-License-Identifier: MIT"],
     "Apache-2.0": [
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at",
         "Released under the Apache License 2.0.", "Licensed under the Apache License 2.0.",
@@ -54,21 +56,26 @@ LICENCE_TEXTS = {
         "distribution.",
         "Released under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"],
     "GPL-2.0": [
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
         "option) any later version.",
         "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later"],
     "GPL-3.0": [
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
         "Released under the GNU General Public License v3.0.", "Released under the GPL v3.",
         "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later"],
     "MPL-2.0": [
+        "Mozilla Public License Version 2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at",
         "SPDX-License-Identifier: MPL-2.0"],
     "ISC": [
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
         "Released under the ISC License.", "SPDX-License-Identifier: ISC"],
@@ -82,14 +89,17 @@ LICENCE_TEXTS = {
         "this work.",
         "SPDX-License-Identifier: CC0-1.0"],
     "LGPL-2.1": [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
         "(at your option) any later version."],
     "LGPL-3.0": [
         f"This {x} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
-        "(at your option) any later version." for x in ("library", "program")],
+        "(at your option) any later version." for x in ("library", "program")]
+        + ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
     "AGPL-3.0": [
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
         "(at your option) any later version."],
@@ -102,6 +112,7 @@ LICENCE_TEXTS = {
     "Zlib": [
         "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
         "to alter it and redistribute it freely, subject to the following restrictions:"],
+    "GFDL-1.3": ["GNU Free Documentation License Version 1.3, 3 November 2008"],
     "WTFPL": ["You just DO WHAT THE FUCK YOU WANT TO."],
 }
 
@@ -177,6 +188,11 @@ LICENCE_NAMES["CC"] = "Creative Commons"
 
 SENTENCE_END = "[.;:!?]+([\\x09-\\x0D\\x20]+|$)"
 SHORT = "\\bv(er)?[.][\\x09-\\x0D\\x20]+([0-9])"
+#: with comment marks that would end a sentence
+NEW_LINE = "(\\x0D\\x0A?|\\x0A)[\\x09\\x20]*[;!]*"
+#: a line that says whose copyright it is, and a line without letters and digits
+COPYRIGHT = "(^|\\x0A)[^a-z0-9\\x0A]*copyright[\\x09\\x20]+(\\(c\\)|©|[0-9<\\[])[^\\x0A]*"
+BLANK = "\\x0A[^a-z0-9\\x0A]*\\x0A"
 LINE_END = "[\\x0A\\x0D]+"
 NOISE = "[^a-z0-9|]+"
 #: what stands before the name of a licence, behind a sentence end
@@ -247,6 +263,9 @@ def _ids(text: Column, known: dict[str, int], at_lines: bool) -> Column:
     text = F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "|", " "), SHORT, "v $2")
     if at_lines:
         text = F.regexp_replace(text, LINE_END, "|")
+    else:
+        text = F.regexp_replace(text, NEW_LINE, "\n")
+        text = F.regexp_replace(F.regexp_replace(text, COPYRIGHT, "|"), BLANK, "|")
     text = F.regexp_replace(F.regexp_replace(text, SENTENCE_END, "|"), NOISE, " ")
     text = F.regexp_replace(text, NOTICE, "|under ")
     notices = {s: i for s, i in known.items() if s.startswith("under ")}
@@ -289,6 +308,9 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
     base = f"regexp_replace(translate(lower(coalesce({text_col}, '')), '|', ' '), '{SHORT}', 'v \\2', 'g')"
     at_lines = f"regexp_replace({base}, '[\\x0A\\x0D]+', '|', 'g')"
 
+    by_paragraph = f"regexp_replace({base}, '{NEW_LINE}', chr(10), 'g')"
+    by_paragraph = f"regexp_replace(regexp_replace({by_paragraph}, '{COPYRIGHT}', '|', 'g'), '{BLANK}', '|', 'g')"
+
     def ids(text):
         cut = f"regexp_replace(regexp_replace({text}, '[.;:!?]+([\\x09-\\x0D\\x20]+|$)', '|', 'g'), '[^a-z0-9|]+', ' ', 'g')"
         cut = f"regexp_replace({cut}, {quoted(NOTICE)}, '|under ', 'g')"
@@ -304,4 +326,4 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
                      for x, ps in patterns(found).items())
     return f"""SELECT {id_col}, sentence_ids, line_ids,
                       array_to_string(list_filter([{hits}], lambda x: x IS NOT NULL), ',') AS licences
-               FROM (SELECT {id_col}, {ids(base)} AS sentence_ids, {ids(at_lines)} AS line_ids FROM {table})"""
+               FROM (SELECT {id_col}, {ids(by_paragraph)} AS sentence_ids, {ids(at_lines)} AS line_ids FROM {table})"""

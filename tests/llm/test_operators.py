@@ -278,6 +278,47 @@ def test_licence_notices_in_any_usual_wording(spark):
     assert license_rules.scan(noticed).where("licences = ''").count() == 0
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2023 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+GPL_HEADER = """a tool that does things
+Copyright (C) 2020  A. Author
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful."""
+ISC_FILE = """ISC License
+
+Copyright 2019, A. Author
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_licence_files_with_title_copyright_and_wraps(spark):
+    marked = ["".join(f"{m} {line}".rstrip() + "\n" for line in GPL_HEADER.splitlines()) for m in ("#", " *", "//", ";;")]
+    texts = [MIT_FILE, MIT_FILE.replace("\n", "\r\n"), MIT_FILE.replace("\n\n", "\n", 2), GPL_HEADER, *marked, ISC_FILE]
+    assert licences(spark, texts) == ["MIT"] * 3 + ["GPL-3.0"] * 5 + ["ISC"]
+
+
 # --- 7
 
 def brute_components(rows, words, percent):
