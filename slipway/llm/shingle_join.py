@@ -89,7 +89,7 @@ def digests(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def described(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, two digests of the set, and the head of the first row with that set in a task."""
+    """doc_id, n, two digests of the set, and the head of the first row with an id and that set in a task."""
     def describe(batches):
         seen: set = set()
         for batch in batches:
@@ -99,8 +99,9 @@ def described(docs: DataFrame, words: int, percent: int, id_col: str, text_col:
                 a, b = digests(h, at)
                 prefix, extra = head(n, percent)
                 take = np.where(n > 0, prefix + extra, 0)
+                named = batch.column(0).slice(lo, hi - lo).is_valid().to_pylist()
                 for i, k in enumerate(zip(a.tolist(), b.tolist())):
-                    if k in seen:
+                    if k in seen or not named[i]:  # rows without an id are in no class
                         take[i] = 0
                     elif len(seen) < 1_000_000:  # only saves work: classes are found below
                         seen.add(k)

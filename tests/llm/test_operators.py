@@ -369,6 +369,14 @@ def test_shingle_join_blocks_and_repeated_ids(spark, monkeypatch):
     assert shingle_join.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_rows_without_an_id_hide_no_near_copies(spark):
+    base = [f"w{k}" for k in range(80)]
+    same, near = " ".join(base), " ".join([*base[:-1], "x"])
+    df = frame(spark, [(None, same), (1, same), (None, same), (2, near), (3, "other words")]).coalesce(1)
+    got = [(r.doc_id, r.component_id) for r in shingle_join.near_duplicates(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, None)] * 2 + [(1, 1), (2, 1), (3, 3)], key=str)
+
+
 def test_components_follow_paths(spark):
     links = [(i, i + 1) for i in range(9)] + [(20, 21), (22, 21), (5, 5)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
