@@ -3,7 +3,8 @@
 The library's ``encode`` of a text equals the joined ``encode`` of its pieces
 when the cuts are places no pre-token spans. The pieces repeat, so a memo of
 (piece hash, ids) kept by the Python worker encodes each of them once. It is
-bounded by ``MEMO`` pieces, then starts afresh. Strings of special tokens are
+bounded by ``MEMO`` pieces, or by the distinct pieces of one slice if these are
+more, then starts afresh. Strings of special tokens are
 ordinary text.
 """
 
@@ -129,8 +130,6 @@ class Encoder:
 
     def learn(self, keys: np.ndarray, pieces: list[bytes], plain: np.ndarray) -> None:
         """Keeps the ids of pieces, whose keys are new and in order."""
-        if len(self.keys) + len(keys) > self.memo:
-            self.clear()
         ids, size = self.fresh(pieces, plain)
         total = len(ids)
         if self.used + total > len(self.ids):
@@ -177,10 +176,11 @@ class Encoder:
             self.learn(keys[which], [raw[a:b] for a, b in zip(starts[i].tolist(), ends[i].tolist())], plain[i])
 
         new = np.flatnonzero(~self._known(keys))
+        if len(self.keys) + len(new) > self.memo:  # the memo starts afresh, with all pieces of this slice
+            self.clear()
+            new = np.arange(len(keys))
         if len(new):
             learn(new)
-            if len(missed := np.flatnonzero(~self._known(keys))):  # the memo started afresh
-                learn(missed)
         slot = np.searchsorted(self.keys, keys)[number]
         size = self.size[slot].astype(np.int64)
         total = np.zeros(len(size) + 1, np.int64)

@@ -123,6 +123,17 @@ def test_memo_encoding_equals_the_library(name, cut):
             assert ids[rows[k]:rows[k + 1]].tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("name, cut", [("word_bpe_49k.json", encode.WORDS), ("byte_bpe_50k.json", encode.SPACES)])
+def test_memo_smaller_than_the_pieces_of_a_document(name, cut):
+    import pyarrow as pa
+    texts = ["the a1 b2", " ".join(f"x{k} the" for k in range(300)), "the a1 y9", " ".join(f"y{k}" for k in range(300))]
+    e = encode.Encoder(queries.tokenizer(name), cut, memo=50)
+    for t in texts:
+        (_, _, data, offsets), = arrays.chunks(pa.array([t]))
+        ids, _ = e.encode(data, offsets)
+        assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
