@@ -243,6 +243,32 @@ def test_neighbours_edges(spark):
     assert neighbour_graph.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["near"])
+def test_neighbours_of_near_equal_vectors_and_uneven_norms(spark, kind):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "near":
+        x[:1000] = x[0] + rng.normal(size=(1000, 32)) * 1e-4
+        x[:1000] /= np.linalg.norm(x[:1000], axis=1, keepdims=True)
+    elif kind == "outlier":
+        x[7] *= 1000
+    else:
+        x *= np.exp(rng.normal(size=(3000, 1)))
+        x[7] *= 1000
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = collections.defaultdict(set)
+    for r in neighbour_graph.nearest(df, query_step=50, rounds=5).collect():
+        found[r.query_id].add(r.vec_id)
+    recall = []
+    for q in range(0, 1000, 50):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len(found[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    print(kind, "recall", np.mean(recall))
+    assert np.mean(recall) >= 0.9
+
+
 # --- 5
 
 def test_licences(spark):
