@@ -243,7 +243,7 @@ def test_neighbours_edges(spark):
     assert neighbour_graph.nearest(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("kind", ["near"])
+@pytest.mark.parametrize("kind", ["near", "outlier", "norms"])
 def test_neighbours_of_near_equal_vectors_and_uneven_norms(spark, kind):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 32))
