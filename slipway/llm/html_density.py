@@ -1,13 +1,15 @@
 """Main text of HTML pages by composite text density.
 
 Each page becomes a tree of elements (unclosed and stray tags are accepted as
-browsers do). Elements that are boilerplate by tag, role or name are cut. For
+browsers do). Elements that are boilerplate by tag, role or name are cut, by
+form or name only where they don't wrap the content, by the name of a list of
+links only where links are a good part of the text. For
 each remaining element the density is its characters per tag, weighed down by
 the share of link characters and link tags. The densities of an element's
 children, and of text directly in it, add up to its density sum. The subtree
 with the largest sum is the main one. An article element around it is taken
-whole. Otherwise the smallest density on the path from it up to the body is
-the threshold, and other subtrees as dense as that are taken too.
+whole, else a main element. The smallest density on the path from it up to the
+body is the threshold, and other subtrees as dense as that are taken too.
 
 Edge cases: null or empty html, or a page without text, gives an empty text;
 pages and nesting of any size are taken whole; equal rows give equal rows; an
@@ -43,15 +45,20 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: elements beyond which a start tag closes nothing
 FENCE = frozenset("html body table ul ol dl div section article main aside nav header footer form td th blockquote".split())
 
-CUT_TAGS = frozenset("head script style noscript template title nav footer aside form button select textarea input "
+CUT_TAGS = frozenset("head script style noscript template title nav footer aside button select textarea input "
                      "iframe object embed svg canvas audio video map dialog menu".split())
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
+CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                       "toolbar".split())
 CUT_NAMES = frozenset("ad ads adsense advert adverts advertisement advertising sponsor sponsored sponsors promo promos "
                       "promotion cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription "
                       "signup login share sharing social menu menus nav navbar navigation breadcrumb breadcrumbs footer "
                       "sidebar widget widgets related recommended recommendations comment comments disqus replies "
                       "respond pagination pager toolbar copyright skip".split())
+#: of these, names of lists of links
+LINK_NAMES = frozenset("related recommended recommendations share sharing social menu menus nav navbar navigation breadcrumb "
+                       "breadcrumbs pagination pager".split())
+#: a class that begins so tells what a wrapper has, not what it is
+STATES = frozenset("has have no with without show hide is not enable enabled disable disabled".split())
 #: cut unless the name also says that it belongs to the article
 CUT_NAMES_OUTSIDE = frozenset("header masthead topbar banner notice notices alert announcement disclaimer".split())
 ARTICLE_NAMES = frozenset("article post entry story content body main title headline text".split())
@@ -119,36 +126,89 @@ def parse(text: str) -> list[Node]:
     return nodes
 
 
-def boilerplate(node: Node) -> bool:
+def boilerplate(node: Node) -> str:
+    """"always"; "outside" if it is unless it wraps the content; "links" if also links are a good part of it; else ""."""
     tag = node.tag
     if tag in CUT_TAGS:
-        return True
+        return "always"
     if tag == "header":
         up = node.parent
         while up and up.tag not in ("article", "main"):
             up = up.parent
         if not up:
-            return True
+            return "always"
+    kind = "outside" if tag == "form" else ""
     if tag in KEEP_TAGS or not node.attributes:
-        return False
+        return kind
     names = set()
     for name, value in ATTRIBUTE.findall(node.attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            names.update(x.lower() for x in NAME_PART.findall(value))
+            for word in value.split():
+                parts = [x.lower() for x in NAME_PART.findall(word)]
+                if parts and not (len(parts) > 1 and parts[0] in STATES):
+                    names.update(parts)
         elif name == "role" and CUT_ROLES.intersection(value.lower().split()):
-            return True
+            return "always"
+        elif name == "role" and "form" in value.lower().split():
+            kind = "outside"
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "always"
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return "always"
+    if names & CUT_NAMES - LINK_NAMES or names & CUT_NAMES_OUTSIDE and not names & ARTICLE_NAMES:
+        return "outside"
+    return kind or ("links" if names & LINK_NAMES else "")
+
+
+def cut(nodes: list[Node]) -> None:
+    """Marks boilerplate.
+
+    A subtree wraps the content if it holds more than half of the text that
+    isn't links, and no article or main element beside it holds a tenth; or a
+    quarter of it together with the page's main heading or main element.
+    """
+    kinds = [""] + [boilerplate(x) for x in nodes[1:]]
+    if not any(x in ("outside", "links") for x in kinds):
+        for node, kind in zip(nodes[1:], kinds[1:]):
+            node.cut = node.parent.cut or kind == "always"
+        return
+    number = {id(x): i for i, x in enumerate(nodes)}
+    n = len(nodes)
+    up = [number[id(x.parent)] if x.parent else -1 for x in nodes]
+    gone, in_link = [False] * n, [False] * n
+    chars, links, heading, end = [0] * n, [0] * n, [False] * n, list(range(1, n + 1))
+    for i in range(1, n):
+        gone[i] = gone[up[i]] or kinds[i] == "always"
+        in_link[i] = in_link[up[i]] or nodes[i].tag == "a"
+    for i in range(n - 1, -1, -1):
+        if not gone[i]:
+            own = sum(len(" ".join(x.split())) for x in nodes[i].items if x.__class__ is str)
+            chars[i] += own
+            links[i] += own if in_link[i] else 0
+            heading[i] = heading[i] or nodes[i].tag in ("h1", "main")
+        if i:
+            chars[up[i]] += chars[i]
+            links[up[i]] += links[i]
+            heading[up[i]] = heading[up[i]] or heading[i]
+            end[up[i]] = max(end[up[i]], end[i])
+    prose = [a - b for a, b in zip(chars, links)]
+    whole = [i for i in range(1, n) if nodes[i].tag in ("article", "main") and 10 * prose[i] >= prose[0]]
+
+    def wraps(i):
+        if 4 * prose[i] >= prose[0] and heading[i] and prose[i]:
             return True
-    return bool(names & CUT_NAMES or names & CUT_NAMES_OUTSIDE and not names & ARTICLE_NAMES)
+        return 2 * prose[i] > prose[0] and all(k < i < end[k] or i < k < end[i] for k in whole)
+
+    for i in range(1, n):
+        node, kind = nodes[i], kinds[i]
+        node.cut = node.parent.cut or kind == "always" or kind == "outside" and not wraps(i) \
+            or kind == "links" and 4 * links[i] >= chars[i] and not wraps(i)
 
 
 def measure(nodes: list[Node]) -> None:
     """Cuts boilerplate and sets densities and density sums."""
-    for node in nodes[1:]:
-        node.cut = node.parent.cut or boilerplate(node)
+    cut(nodes)
     direct = {}
     for node in reversed(nodes):
         if node.cut:
@@ -190,7 +250,8 @@ def content(nodes: list[Node]) -> list[Node]:
         node = node.parent
     whole = [x for x in path if x.tag in ("article", "main")]
     if whole:
-        return [next((x for x in reversed(whole) if x.tag == "article"), whole[-1])]
+        main = next((x for x in reversed(whole) if x.tag == "article"), whole[-1])
+        path = path[path.index(main):]
     threshold = min(x.density for x in path if x.tag != "html" or x is top)
     chosen, inside = [], {id(x) for x in path[1:]}
     work = [path[-1]]

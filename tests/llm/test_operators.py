@@ -96,6 +96,24 @@ def test_html(html, text):
     assert html_density.main_text(html) == text
 
 
+LONG = " ".join(["word"] * 60)
+
+
+@pytest.mark.parametrize("html, text", [
+    *((f"<body><nav><a href=x>menu</a></nav><div {name}><h1>T</h1><p>{LONG}</p></div></body>", f"T\n\n{LONG}")
+      for name in ("class='content has-sidebar'", "id='page' class='no-comments'", "class='with-sidebar'", "class='widget'")),
+    (f"<article><p>{LONG}</p><section class='related-work'><p>Others did this before us.</p></section></article>",
+     f"{LONG}\n\nOthers did this before us."),
+    (f"<article><p>{LONG}</p><div class='related'><a href=a>One</a> <a href=b>Two</a></div></article>", LONG),
+    (f"<body><form id=aspnetForm><div><p>{LONG}</p><p>{LONG}</p></div></form></body>", f"{LONG}\n\n{LONG}"),
+    (f"<body><div id=all><p>{LONG}</p></div><form><p>Sign up now</p></form><div id=comments><p>Nice</p></div></body>", LONG),
+    (f"<main><article><p>{LONG}</p></article><article><p>{LONG} b</p></article></main>", f"{LONG}\n\n{LONG} b"),
+    (f"<article><p>{LONG}</p></article><div id=comments><p>{LONG} {LONG}</p></div>", LONG),
+])
+def test_html_wrappers_forms_and_several_articles(html, text):
+    assert html_density.main_text(html) == text
+
+
 def test_pages_give_their_article(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in html_density.extract(pages.withColumn("text", F.lit(1))).collect()}
