@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipway.llm import (bestfit, html_density, langmix, license_rules, neighbour_graph, pivotal, repetition, resampling,
-                         shingle_join, substring_dedup, token_store)
+from slipway.llm import (bestfit, html_density, langmix, license_rules, neighbour_graph, periodic_runs, pivotal, repetition,
+                         resampling, shingle_join, substring_dedup, token_store)
 from slipway.llm.stored import workers_import
 from slipway.session import scratch_path
 
@@ -77,6 +77,10 @@ def op11_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.periodic_runs(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -86,7 +90,7 @@ def pipeline(spark, sf_dir):
 def queries() -> dict[str, Callable]:
     found = [op1_suffix_repetition, op2_text_density, op3_best_fit_packing, op4_nn_descent, op5_licence_rules,
              op6_token_store, op7_shingle_join, op8_language_mixture, op9_pivotal_mix, op10_importance_resampling,
-             op11_substring_dedup, pipeline]
+             op11_substring_dedup, op12_periodic_runs, pipeline]
     return {f.__name__: f for f in found}
 
 
