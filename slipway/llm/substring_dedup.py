@@ -177,8 +177,7 @@ def _repeated(batches):
         same[1:-1] = ordered[1:] == ordered[:-1]
         hits = np.zeros(len(keys), bool)
         hits[order] = same[1:] | same[:-1]
-        at = _cat(rows, "at", "<u4")
-        yield from _back(rows, hits, at, sizes)
+        yield from _back(rows, hits, keys, sizes)
 
 
 def _smallest(batches):
@@ -208,7 +207,7 @@ def _smallest(batches):
 
 
 def _told(batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
-    """Word numbers in a row's lists."""
+    """The numbers in a row's lists."""
     lists = batch.column(column)[row]
     parts = [np.frombuffer(x.as_buffer(), "<u4") for x in lists.values] if lists.is_valid else []
     return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
@@ -225,9 +224,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     def send_anchors(batches):
         for batch in batches:
             for _, pack, ids, data, offsets in unpacked(batch):
-                at, keys = Pack(ids, data, offsets).anchors()
-                keys, first = np.unique(keys, return_index=True)
-                yield _dealt(pack, keys, buckets, keys.astype("<u4"), b"", at[first].astype("<u4"))
+                keys = np.unique(Pack(ids, data, offsets).anchors()[1])
+                yield _dealt(pack, keys, buckets, keys.astype("<u4"))
 
     def send_windows(batches):
         for batch in batches:
@@ -235,8 +233,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 p = Pack(ids, data, offsets)
                 at, keys = p.anchors()
                 every, number, count = np.unique(keys, return_inverse=True, return_counts=True)
-                again = count > 1
-                again[number[np.searchsorted(at, _told(batch, "found", row))]] = True
+                again = (count > 1) | np.isin(every.astype("<u4"), _told(batch, "found", row))
                 at = window_positions(at[again[number]], p.rows)
                 if not len(at):
                     continue
