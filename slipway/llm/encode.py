@@ -20,8 +20,8 @@ MEMO = 1_000_000
 JOIN = 500
 
 #: bytes that surely start a character other than white space
-_SOLID = np.zeros(256, bool)
-_SOLID[[*range(0x21, 0x7F), *range(0xC3, 0xE0), *range(0xE4, 0xF5)]] = True
+SOLID = np.zeros(256, bool)
+SOLID[[*range(0x21, 0x7F), *range(0xC3, 0xE0), *range(0xE4, 0xF5)]] = True
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 _SIGN = np.zeros(256, bool)
@@ -88,7 +88,7 @@ class SpaceCut(Cut):
         letter = letters(data)
         cut = self.at(data, offsets, letter)
         if len(data) > 2:
-            solid = _SOLID[data]
+            solid = SOLID[data]
             cut[:-2] |= (data[:-1] == 32) & solid[1:]
             line = np.flatnonzero((data[1:-1] == 10) & solid[2:] & solid[:-2] & (data[:-2] < 0x7F)) + 1
             cut[line] = cut[line + 1] = True

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slipway.llm import (bestfit, html_density, langmix, license_rules, neighbour_graph, periodic_runs, pivotal, repetition,
-                         resampling, shingle_join, substring_dedup, token_store)
+                         resampling, shingle_join, substring_dedup, token_alignment, token_store)
 from slipway.llm.stored import workers_import
 from slipway.session import scratch_path
 
@@ -81,6 +81,11 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.periodic_runs(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
 
 
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
+                                 tokenizer("piece_bpe_32k.model"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -90,7 +95,7 @@ def pipeline(spark, sf_dir):
 def queries() -> dict[str, Callable]:
     found = [op1_suffix_repetition, op2_text_density, op3_best_fit_packing, op4_nn_descent, op5_licence_rules,
              op6_token_store, op7_shingle_join, op8_language_mixture, op9_pivotal_mix, op10_importance_resampling,
-             op11_substring_dedup, op12_periodic_runs, pipeline]
+             op11_substring_dedup, op12_periodic_runs, op13_token_alignment, pipeline]
     return {f.__name__: f for f in found}
 
 
