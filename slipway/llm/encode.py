@@ -4,8 +4,9 @@ The library's ``encode`` of a text equals the joined ``encode`` of its pieces
 when the cuts are places no pre-token spans. The pieces repeat, so a memo of
 (piece hash, ids) kept by the Python worker encodes each of them once. It is
 bounded by ``MEMO`` pieces, or by the distinct pieces of one slice if these are
-more, then starts afresh. Strings of special tokens are
-ordinary text.
+more, then starts afresh. Texts that hold the string of a
+special token, in any case, go to the library whole, so it gets its id or not
+just as there.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut, self.memo = cut, memo
         vocab = self.tokenizer.get_vocab()
         if max(vocab.values()) >= 1 << 16:
@@ -165,8 +166,37 @@ class Encoder:
         out[ragged(first[rest], sizes[rest])] = np.fromiter((i for x in other for i in x), np.uint16)
         return out, sizes
 
+    def with_special(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows that hold the string of a special token."""
+        raw, rows = LOWER[data].tobytes(), set()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                if inside := at + len(token) <= offsets[row + 1]:
+                    rows.add(row)
+                at = raw.find(token, int(offsets[row + 1]) if inside else at + 1)
+        return np.array(sorted(rows), np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows in order, and the offsets of the rows in them."""
+        special = self.with_special(data, offsets)
+        if not len(special):
+            return self._encode(data, offsets)
+        size = np.diff(offsets)
+        size[special] = 0
+        ids, rows = self._encode(data[ragged(offsets[:-1], size)], np.concatenate([[0], np.cumsum(size)]))
+        parts, done = [], 0
+        for row in special.tolist():
+            text = data[offsets[row]:offsets[row + 1]].tobytes().decode()
+            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
+            parts += [ids[done:rows[row]], got]
+            done = rows[row]
+        count = np.diff(rows)
+        count[special] = [len(x) for x in parts[1::2]]
+        return np.concatenate([*parts, ids[done:]]), np.concatenate([[0], np.cumsum(count)])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         data, starts, ends, rows, plain = self.cut(data, offsets)
         keys, some, number = distinct(hash_spans(data, starts, ends))
         raw = data.tobytes()
