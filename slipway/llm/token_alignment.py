@@ -12,7 +12,9 @@ must be those of the text, else the text has no tokens.
 Texts are cut at single spaces between solid characters: no pre-token of A and
 no entry of B's vocabulary (checked when it is loaded) reaches across, so both
 tokenizers give there what they give in the whole text, and both have a token
-end. Each distinct piece of a slice is tokenised and aligned once.
+end. Each distinct piece is tokenised and aligned once, ``JOIN`` of them as one
+text, as they were cut, and kept by the worker with its groups and links, up to
+``MEMO`` pieces or those of one slice, then afresh.
 
 The number of documents that hold a linked pair of ids is counted over all
 documents: each pack of about ``PACK`` bytes of text sends each of its pairs
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,9 @@ from slipway.llm.stored import stored
 from slipway.llm.texts import listed
 
 PACK = 4 << 20
-BATCH = 1000
+JOIN = 200
+MEMO = 500_000
+MARK = "▁".encode()
 ALIGNED = ("pack long, ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
            "n_links array<bigint>, groups array<string>, pairs array<bigint>, holders array<int>, "
            "links binary, repeats binary, rows binary")
@@ -127,8 +132,8 @@ class Aligner:
 
     def tokens_a(self, pieces: list[str], data: np.ndarray, offsets: np.ndarray) -> Tokens:
         ids, spans, sizes = [], [], []
-        for k in range(0, len(pieces), BATCH):
-            for e in self.a.encode_batch(pieces[k:k + BATCH], add_special_tokens=False):
+        for k in range(0, len(pieces), 64):
+            for e in self.a.encode_batch(pieces[k:k + 64], add_special_tokens=False):
                 ids += e.ids
                 spans += e.offsets
                 sizes.append(len(e))
@@ -140,26 +145,18 @@ class Aligner:
         return refined(ids, first[base + spans[:, 0]], first[base + spans[:, 1]], rows, self.bytes_a, data, offsets)
 
     def tokens_b(self, pieces: list[str], data: np.ndarray, offsets: np.ndarray) -> Tokens:
-        ids, begins, stops, rows = [], [], [], [0]
-        for text, at in zip(pieces, offsets.tolist()):
-            # spans count from behind the space that the model adds; the first token's begins with it
-            for p in self.b.encode(text[1:], return_type="proto").pieces:
-                ids.append(p.id)
-                begins.append(at + p.begin + 1)
-                stops.append(at + p.end + 1)
-            rows.append(len(ids))
-            if len(ids) > rows[-2]:
-                begins[rows[-2]] = at
-        return refined(*(np.array(x, np.int64) for x in (ids, begins, stops, rows)), self.bytes_b, data, offsets)
-
-
-_ALIGNERS: dict = {}
-
-
-def aligner(path_a: str, path_b: str) -> Aligner:
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+        found, rows = [], [0]
+        for text in pieces:
+            found += [(p.id, p.begin, p.end) for p in self.b.encode(text[1:], return_type="proto").pieces]
+            rows.append(len(found))
+        ids, begins, stops = np.array(found, np.int64).reshape(-1, 3).T
+        rows = np.array(rows, np.int64)
+        # spans count from behind the space that the model adds; the first token's begins with it
+        at = np.repeat(offsets[:-1], np.diff(rows)) + 1
+        begins, stops = begins + at, stops + at
+        full = np.diff(rows) > 0
+        begins[rows[:-1][full]] = offsets[:-1][full]
+        return refined(ids, begins, stops, rows, self.bytes_b, data, offsets)
 
 
 def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,18 +193,39 @@ def overlaps(a: Tokens, b: Tokens, start: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.repeat(np.arange(len(a.ids)), count), ragged(first, count)
 
 
+def by_piece(t: Tokens, cuts: np.ndarray, offsets: np.ndarray) -> Tokens | None:
+    """Tokens of joined pieces by piece, none of bad ones; None if good and bad pieces were joined or a cut is no end."""
+    size = np.diff(t.rows)
+    if not t.good.all():
+        if (np.diff(cuts)[~t.good] > 1).any():
+            return None
+        some = ragged(t.rows[:-1], np.where(t.good, size, 0))
+        t = Tokens(t.ids[some], t.ends[some], t.rows, t.good)
+    rows, good = np.searchsorted(t.ends, offsets, "right"), np.repeat(t.good, np.diff(cuts))
+    if (np.append(0, t.ends)[rows[1:]][good] != offsets[1:][good]).any():
+        return None
+    return Tokens(t.ids, t.ends, rows, good)
+
+
 class Aligned:
     """Groups and links of the distinct pieces of a slice."""
 
-    def __init__(self, both: Aligner, raw: list[bytes]):
+    def __init__(self, both: Aligner, raw: list[bytes], plain: int):
+        """The first ``plain`` pieces are a space, a solid character and more, without a space at the end or U+2581."""
         data = np.frombuffer(b"".join(raw), np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-        texts = [x.decode() for x in raw]
-        a, b = both.tokens_a(texts, data, offsets), both.tokens_b(texts, data, offsets)
+        for joined in (plain, 0):
+            cuts = np.concatenate([np.arange(0, joined, JOIN), np.arange(joined, len(raw) + 1)])
+            ends = offsets[cuts]
+            whole = data.tobytes()
+            texts = [whole[x:y].decode() for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            a, b = (by_piece(t(texts, data, ends), cuts, offsets) for t in (both.tokens_a, both.tokens_b))
+            if a is not None and b is not None:
+                break
         self.good = a.good & b.good
-        self.n_a, self.n_b = np.diff(a.rows), np.diff(b.rows)
         self._keep(a)
         self._keep(b)
+        self.n_a, self.n_b = np.diff(a.rows), np.diff(b.rows)
         x, y = overlaps(a, b, offsets)
         self.links = a.ids[x] << 32 | b.ids[y]
         self.rows = np.searchsorted(x, a.rows)
@@ -234,13 +252,77 @@ class Aligned:
         self.texts = [";".join(groups[i:j]) for i, j in zip(rows[:-1].tolist(), rows[1:].tolist())]
 
 
-def align_slice(both: Aligner, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray | list]:
+class Found(NamedTuple):
+    """The pieces of a slice: ``links`` from ``rows[k]`` on are those of piece k."""
+
+    good: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    rows: np.ndarray
+    links: np.ndarray
+    texts: list[str]
+
+
+class Memo:
+    """Aligned pieces that a worker has seen, found by their hash."""
+
+    def __init__(self, both: Aligner, most: int = MEMO):
+        self.both, self.most = both, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.counts = np.zeros((5, 0), np.int64)  # good, n_a, n_b, n_groups, n_links
+        self.at, self.links, self.texts = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def found(self, keys: np.ndarray, bytes_of) -> Found:
+        """What is known of the pieces of these distinct keys in order; ``bytes_of`` gives those at some places."""
+        new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))
+        if len(self.keys) + len(new) > self.most:  # afresh, with all pieces of this slice
+            self.clear()
+            new = np.arange(len(keys))
+        if len(new):
+            self.learn(keys[new], bytes_of(new))
+        slot = self.slot[np.searchsorted(self.keys, keys)]
+        counts = self.counts[:, slot]
+        rows = np.concatenate([[0], np.cumsum(counts[4])])
+        texts = self.texts
+        return Found(counts[0] > 0, *counts[1:4], rows, self.links[ragged(self.at[slot], counts[4])],
+                     [texts[k] for k in slot.tolist()])
+
+    def learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        plain = np.array([SOLID[p[1]] and p[-1] != 32 and MARK not in p if len(p) > 1 else False for p in pieces], bool)
+        order = np.argsort(~plain, kind="stable")
+        x = Aligned(self.both, [pieces[k] for k in order.tolist()], int(plain.sum()))
+        slot = np.empty(len(order), np.int64)
+        slot[order] = np.arange(len(self.texts), len(self.texts) + len(order))
+        where = np.searchsorted(self.keys, keys)
+        self.keys, self.slot = np.insert(self.keys, where, keys), np.insert(self.slot, where, slot)
+        self.at = np.concatenate([self.at, x.rows[:-1] + len(self.links)])
+        self.links = np.concatenate([self.links, x.links])
+        self.counts = np.concatenate([self.counts, [x.good, x.n_a, x.n_b, x.n_groups, np.diff(x.rows)]], 1)
+        self.texts += x.texts
+
+
+_MEMOS: dict = {}
+
+
+def memo_of(path_a: str, path_b: str) -> Memo:
+    """The worker's memo; a worker keeps one at a time."""
+    if (path_a, path_b) not in _MEMOS:
+        _MEMOS.clear()
+        _MEMOS[path_a, path_b] = Memo(Aligner(path_a, path_b))
+    return _MEMOS[path_a, path_b]
+
+
+def align_slice(memo: Memo, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray | list]:
     """Columns per row of a slice, and its distinct linked pairs by row."""
     data, offsets = spaced(data, offsets)
     at, rows = pieces_of(data, offsets)
-    _, some, number = distinct(hash_spans(data, at[:-1], at[1:]))
+    keys, some, number = distinct(hash_spans(data, at[:-1], at[1:]))
     raw = data.tobytes()
-    found = Aligned(both, [raw[x:y] for x, y in zip(at[some].tolist(), at[some + 1].tolist())])
+    found = memo.found(keys, lambda which: [raw[x:y] for x, y in zip(at[some[which]].tolist(), at[some[which] + 1].tolist())])
     owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     bad = np.zeros(len(rows) - 1, bool)
     bad[owner[~found.good[number]]] = True
@@ -276,7 +358,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column(1), pack_bytes):
-                x = align_slice(aligner(path_a, path_b), data, offsets)
+                x = align_slice(memo_of(path_a, path_b), data, offsets)
                 used, link = np.unique(x["link"], return_inverse=True)
                 holders = np.bincount(link, minlength=len(used))
                 yield pa.RecordBatch.from_arrays(
