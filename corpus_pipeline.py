@@ -48,12 +48,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it; documents not taken go."""
     workers_import(spark)
     taken = pivotal.mix_sources(docs).where(F.col("copies") > 0)
-    # rows that share id, source and size are told apart by a number; which gets which copies makes no difference
+    # rows that share id, source and size are told apart by a number, by text and by copies, so reruns agree
     key = ["doc_id", "source", "size"]
-    number = Window.partitionBy(*key).orderBy(F.lit(0))
+
+    def number(order: str):
+        return F.row_number().over(Window.partitionBy(*key).orderBy(order))
+
     left = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(pivotal.WORD)), F.lit(0)).cast("long")) \
-        .withColumn("number", F.row_number().over(number)).alias("d")
-    right = taken.select(*key, "copies").withColumn("number", F.row_number().over(number)).alias("t")
+        .withColumn("number", number("text")).alias("d")
+    right = taken.select(*key, "copies").withColumn("number", number("copies")).alias("t")
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in (*key, "number")]
     condition = same[0]
     for c in same[1:]:
