@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from slipway.operators import checks as C  # noqa: E402
 from slipway.operators import gates as G  # noqa: E402
+from slipway.operators import diff, graph  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
-from slipway.plans import flow  # noqa: E402
+from slipway.plans import flow, incremental  # noqa: E402
 from slipway.plans import sql_models  # noqa: E402
 from slipway.schemas import NATIVE_ORDERS  # noqa: E402
 from slipway.sources import testdata as TD  # noqa: E402
-from slipway.store import Store  # noqa: E402
+from slipway.store import ConcurrentChange, Store  # noqa: E402
 from slipway.streaming import revert_on_failure  # noqa: E402
 
 try:  # the corpus operators and their pipeline can be left out as a whole
@@ -417,6 +419,87 @@ def q_native_check_results(spark, sf_dir):
                                         "severity", "blocking")
 
 
+def q_concurrent_appends(spark, sf_dir):
+    """Two writers, each with a store of its own and no common lock, append a share of the orders in turn.
+
+    Half of their commits meet a number that the other has taken; none is lost, and a promotion of a
+    build that the other writer has replaced is refused.
+    """
+    first = Store.scratch(spark)
+    second = Store(spark, first.root)
+    mart = q_mart_orders(spark, sf_dir)
+    first.build({"mart_orders": mart.where(F.col("order_id") % 7 == 0)}, env="green")
+
+    def append(store, parts):
+        for k in parts:
+            store.append("green", "mart_orders", mart.where(F.col("order_id") % 7 == k))
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(append, (first, second), ((1, 2, 3), (4, 5, 6))))
+    checked = first.commit_of(first.build({"mart_orders": mart.limit(0)}), "blue")
+    second.build({"mart_orders": mart.where("order_id % 7 = 0")})
+    try:
+        first.promote(["mart_orders"], expect=checked)
+        raise AssertionError("a replaced build was promoted")
+    except ConcurrentChange:
+        return Store(spark, first.root).read("green", "mart_orders")
+
+
+def _changing_orders(spark, sf_dir, store, after=lambda: None):
+    """Orders in blue that reach their true state by a build, an append, a merge and a deletion, with ``after`` each."""
+    o, _ = _stg(spark, sf_dir)
+    k, twist = F.col("order_id") % 10, F.col("ordered_at") + F.expr("INTERVAL 400 DAYS")
+    early = o.where(k != 0).withColumn("order_total", F.when(k == 1, F.col("order_total") + 7.25).otherwise(F.col("order_total"))) \
+        .withColumn("ordered_at", F.when(k == 1, twist).otherwise(F.col("ordered_at")))
+    wrong = o.where(k == 3).withColumn("order_id", -F.col("order_id") - 1).withColumn("ordered_at", twist)
+    for step in (lambda: store.build({"stg_orders": early}),
+                 lambda: store.append("blue", "stg_orders", o.where(k == 0).unionByName(wrong)),
+                 lambda: store.merge("blue", "stg_orders", o.where(k == 1), ["order_id"]),
+                 lambda: store.merge("blue", "stg_orders", None, ["order_id"], delete=wrong)):
+        step()
+        after()
+
+
+def q_incremental_customers(spark, sf_dir):
+    """The mart refreshed from changed orders alone, after an append, updates and deletions."""
+    store = Store.scratch(spark)
+    _, c = _stg(spark, sf_dir)
+    how = []
+    _changing_orders(spark, sf_dir, store, lambda: how.append(incremental.refresh_customers(store, c)))
+    assert how == ["full", "changes", "changes", "changes"], how
+    return _rounded(store.read("blue", "mart_customers"))
+
+
+def q_version_changes(spark, sf_dir):
+    """What lies between the first build of the orders and their last state: rows and by how many copies."""
+    store = Store.scratch(spark)
+    _changing_orders(spark, sf_dir, store)
+    return store.changes(store.version_at("blue", "stg_orders", 1), store.version("blue", "stg_orders"))
+
+
+def q_changed_keys(spark, sf_dir):
+    """The orders that a revert to the first build would touch, as added, removed or changed."""
+    return diff.changed_keys(q_version_changes(spark, sf_dir), ["order_id"])
+
+
+def q_blocked_models(spark, sf_dir):
+    """Every node of every run with what it comes to: skipped below a failed one."""
+    return graph.effective_status(TD.graph_nodes(spark, sf_dir), TD.graph_edges(spark, sf_dir))
+
+
+def q_blocking_check_run(spark, sf_dir):
+    """The marts are built from the staging models; a duplicate customer fails that model's blocking check, so both
+    marts are skipped. Returns the nodes of the run that are in blue: the staging models, as built."""
+    store = Store.scratch(spark)
+    o, c = _stg(spark, sf_dir)
+    models = {"stg_orders": o, "stg_customers": _with_duplicate(c, "customer_id"), **_marts(spark, sf_dir)}
+    report = flow.publish_run(store, models, {"stg_customers": [C.unique("customer_id")], **MART_CHECKS},
+                              depends={"mart_orders": ["stg_orders", "stg_customers"],
+                                       "mart_customers": ["stg_orders", "stg_customers"]})
+    assert not report.promoted and not store.versions("green"), report
+    return store.state(env="blue").select("table_name", "action", "row_count")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: build both marts, check them, gate the run, promote, and
     read what green serves."""
@@ -472,6 +555,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clone_env": q_clone_env,
         "native_land_promote": q_native_land_promote,
         "native_check_results": q_native_check_results,
+        "concurrent_appends": q_concurrent_appends,
+        "incremental_customers": q_incremental_customers,
+        "version_changes": q_version_changes,
+        "changed_keys": q_changed_keys,
+        "blocked_models": q_blocked_models,
+        "blocking_check_run": q_blocking_check_run,
     }
 
 
@@ -547,6 +636,18 @@ _FIRST_ORDERS_SQL = TD.oracle_with("mart_orders") + """
     SELECT * REPLACE (order_total + 1 AS order_total) FROM mart_orders"""
 
 
+_CHANGES_SQL = TD.oracle_with("stg_orders") + """,
+    first AS (
+        SELECT order_id, customer_id, order_total + CASE WHEN order_id % 10 = 1 THEN 7.25 ELSE 0 END AS order_total,
+               ordered_at + CASE WHEN order_id % 10 = 1 THEN INTERVAL 400 DAYS ELSE INTERVAL 0 DAYS END AS ordered_at
+        FROM stg_orders WHERE order_id % 10 <> 0),
+    changes AS (
+        SELECT *, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM stg_orders EXCEPT ALL SELECT * FROM first)
+        UNION ALL
+        SELECT *, CAST(-1 AS BIGINT) FROM (SELECT * FROM first EXCEPT ALL SELECT * FROM stg_orders))
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return own_oracle_sql() | (LLM.oracle_sql() if LLM else {})
 
@@ -556,6 +657,34 @@ def own_oracle_sql() -> dict[str, str]:
     return {
         "stg_orders": _view("stg_orders"),
         "stg_customers": _view("stg_customers"),
+        "concurrent_appends": _view("mart_orders"),
+        "incremental_customers": _CUSTOMERS_SQL,
+        "version_changes": _CHANGES_SQL + "SELECT * FROM changes",
+        "changed_keys": _CHANGES_SQL + """
+            SELECT order_id, CAST(sum(greatest(copies, 0)) AS BIGINT) AS added,
+                   CAST(sum(greatest(-copies, 0)) AS BIGINT) AS removed,
+                   CASE WHEN sum(greatest(-copies, 0)) = 0 THEN 'added' WHEN sum(greatest(copies, 0)) = 0 THEN 'removed'
+                        ELSE 'changed' END AS change
+            FROM changes GROUP BY order_id""",
+        "blocked_models": """
+            WITH RECURSIVE nodes AS (
+                SELECT event_id // 64 AS run_id, event_id AS node, event_id % 64 AS k,
+                       CASE WHEN event_type <> 'error' THEN 'success' WHEN value < 5.0 THEN 'warn' ELSE 'error' END AS status
+                FROM events),
+            edges AS (
+                SELECT run_id, node, node - 3 AS upstream FROM nodes WHERE k >= 3
+                UNION SELECT run_id, node, node - 7 FROM nodes WHERE k >= 7
+                UNION SELECT run_id, node, run_id * 64 + k // 2 FROM nodes WHERE k > 0 AND k % 2 = 0),
+            below AS (
+                SELECT e.run_id, e.node FROM edges e JOIN nodes f ON f.node = e.upstream AND f.status = 'error'
+                UNION
+                SELECT e.run_id, e.node FROM edges e JOIN below b ON b.node = e.upstream)
+            SELECT n.run_id, n.node, n.status,
+                   CASE WHEN b.node IS NOT NULL THEN 'skipped' ELSE n.status END AS effective
+            FROM nodes n LEFT JOIN below b USING (run_id, node)""",
+        "blocking_check_run": """
+            SELECT 'stg_orders' AS table_name, 'build' AS action, count(*) AS row_count FROM orders
+            UNION ALL SELECT 'stg_customers', 'build', count(*) + 1 FROM customer""",
         "mart_orders": _view("mart_orders"),
         "mart_customers": _CUSTOMERS_SQL,
         "mart_orders_sql": _view("mart_orders"),

@@ -88,7 +88,7 @@ def clonable(state: DataFrame, env: str = "green",
     listing does.
     """
     return (state.where((F.upper(F.col("env")) == F.upper(F.lit(env)))
-                        & F.col("action").isin("publish", "swap", "clone", "build", "revert", "append")
+                        & F.col("action").isin("publish", "swap", "clone", "build", "revert", "append", "merge")
                         & ~F.col("table_name").like(snapshot_pattern))
             .select("table_name"))
 

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
+from slipway.operators import graph
 from slipway.sources.seeds import conform, literal_frame
-from slipway.store import NothingToRevert, Store
+from slipway.store import ConcurrentChange, NothingToRevert, Store
 
 PROJECT = "slipway"
 
@@ -94,13 +95,21 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
                 marts: Sequence[str] | None = None, *, strategy: str = "promote",
                 force_skip: bool = False, run_id: int | None = None,
                 drop_extra: bool = True, threads: int = 4,
-                layouts: Mapping[str, Sequence[str]] | None = None) -> RunReport:
+                layouts: Mapping[str, Sequence[str]] | None = None,
+                depends: Mapping[str, Sequence[str]] | None = None) -> RunReport:
     """E1. ``models``: name -> DataFrame (or a function building it).
 
     ``marts`` are the models promoted (default: names starting ``mart_``);
     ``layouts`` maps a model to the columns its files are partitioned by;
     ``strategy`` is ``promote`` (blue keeps the build) or ``swap`` (blue
     gets the old green). ``force_skip`` withholds promotion of a clean run.
+
+    ``depends`` maps a model to the models it is built from. Models are then
+    built in waves, each tested before the next; a model below one that
+    failed, or whose blocking check failed, is not built: it and its tests are
+    nodes with status ``skipped`` (Q8). Each wave is one commit to blue, so a
+    model given as a function can read its upstream models there. Promotion
+    is refused when another writer has replaced a build of this run.
     """
     checks = checks or {}
     unknown = sorted(set(checks) - set(models))
@@ -115,10 +124,12 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     errors: dict[str, str] = {}
     lock = threading.Lock()
 
-    def build_one(name, model):
-        folder = "marts" if (marts is None and name.startswith("mart_")) or \
+    def folder_of(name):
+        return "marts" if (marts is None and name.startswith("mart_")) or \
             (marts is not None and name in marts) else "staging"
-        fqn = [PROJECT, folder, name]
+
+    def build_one(name, model):
+        fqn = [PROJECT, folder_of(name), name]
         try:
             df = model() if callable(model) else model
             w = store.write_version(name, df, checks.get(name, ()), (layouts or {}).get(name))
@@ -131,16 +142,6 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
             if w is not None:
                 written[name] = w
 
-    # Independent models are separate Spark jobs; a few driver threads let
-    # them share the executors instead of queueing (the reference runs 4).
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        list(pool.map(lambda kv: build_one(*kv), models.items()))
-    if written:
-        store.commit([{"env": "blue", "table_name": w.table_name, "action": "build",
-                       "paths": w.paths, "row_count": w.row_count,
-                       "run_key": f"run-{run_id}", "schema_json": w.schema_json}
-                      for w in written.values()])
-
     def test_one(name):
         try:
             rows = check_results_for(store, "blue", name, checks[name], written[name]).collect()
@@ -153,8 +154,34 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
         meta = {"checked_table": asset_name("blue", name), "engine": "spark"}
         return (asset_name("blue", name), rows, meta)
 
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        evaluated = list(pool.map(test_one, [n for n in sorted(written) if checks.get(n)]))
+    def skip(name):
+        nodes.append((run_id, f"model.{PROJECT}.{name}", "model", name, [PROJECT, folder_of(name), name], "skipped"))
+        nodes.extend((run_id, f"test.{PROJECT}.{c.name}.{name}", "test", c.name, [PROJECT, "tests", name], "skipped")
+                     for c in checks.get(name, ()))
+
+    depends = depends or {}
+    evaluated, stopped, built_at = [], set(), {}
+    for wave in graph.waves(depends, models):
+        below = [n for n in wave if stopped & set(depends.get(n, ()))]
+        for name in below:
+            skip(name)
+        stopped |= set(below)
+        now = [n for n in wave if n not in stopped]
+        # Independent models are separate Spark jobs; a few driver threads let
+        # them share the executors instead of queueing (the reference runs 4).
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            list(pool.map(lambda n: build_one(n, models[n]), now))
+        done = [written[n] for n in now if n in written]
+        seq = store.commit([{"env": "blue", "table_name": w.table_name, "action": "build",
+                             "paths": w.paths, "row_count": w.row_count,
+                             "run_key": f"run-{run_id}", "schema_json": w.schema_json} for w in done])
+        built_at |= {w.table_name: seq for w in done}
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            tested = list(pool.map(test_one, sorted(n for n in now if n in written and checks.get(n))))
+        evaluated += tested
+        stopped |= {n for n in now if n not in written or f"test {n}" in errors}
+        stopped |= {asset.split(".", 1)[1] for asset, rows, _ in tested
+                    if any(r["blocking"] and not r["passed"] for r in rows)}
     store.record_many(evaluated)                   # one file for the whole run
     for asset, rows, _ in evaluated:
         name = asset.split(".", 1)[1]
@@ -178,7 +205,12 @@ def publish_run(store: Store, models: Mapping[str, Callable[[], DataFrame] | Dat
     to_promote = sorted(summary["to_promote"])
     if to_promote:
         move = store.swap if strategy == "swap" else store.promote
-        report.seq = move(to_promote, "blue", "green", run_key=f"run-{run_id}")
+        try:
+            report.seq = move(to_promote, "blue", "green", run_key=f"run-{run_id}",
+                              expect={t: built_at[t] for t in to_promote})
+        except ConcurrentChange as exc:
+            report.skipped_reason = str(exc)
+            return report
         report.promoted = to_promote
     return report
 
@@ -212,7 +244,7 @@ def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "
     fresh, first = store.freshness(table, src, dst)
     if not (fresh or (bootstrap and first)):
         return None
-    return store.promote([table], src, dst)
+    return store.promote([table], src, dst, expect={table: build.seq})
 
 
 def check_live(store: Store, table: str, key: str = "order_id", env: str = "green",

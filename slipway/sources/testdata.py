@@ -87,6 +87,26 @@ def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GRAPH = 64
+
+
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 64 consecutive events; an event type gives the status."""
+    return table(spark, sf_dir, "events").select(
+        F.expr(f"event_id div {GRAPH}").alias("run_id"), F.col("event_id").alias("node"),
+        F.when(F.col("event_type") == "error", F.when(F.col("value") < 5.0, F.lit("warn")).otherwise(F.lit("error")))
+        .otherwise(F.lit("success")).alias("status"))
+
+
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node k of a run is built from nodes k - 3 and k - 7 and, if even, from node k / 2."""
+    k = F.col("event_id") % GRAPH
+    up = F.array(F.when(k >= 3, k - 3), F.when(k >= 7, k - 7), F.when((k > 0) & (k % 2 == 0), F.expr(f"event_id % {GRAPH} div 2")))
+    return table(spark, sf_dir, "events").select(
+        F.expr(f"event_id div {GRAPH}").alias("run_id"), F.col("event_id").alias("node"), F.explode(up).alias("up")) \
+        .where("up is not null").select("run_id", "node", (F.col("run_id") * GRAPH + F.col("up")).alias("upstream"))
+
+
 def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A publish history: order = commit, customer = table, status = env.
 

@@ -1,4 +1,5 @@
 from slipway.store.store import (  # noqa: F401
+    ConcurrentChange,
     NothingToRevert,
     Snapshot,
     Store,
