@@ -14,6 +14,7 @@ import os
 import sys
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from slipway.operators import gates as G  # noqa: E402
 from slipway.operators import diff, graph  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
-from slipway.plans import flow, incremental  # noqa: E402
+from slipway.plans import flow, incremental, unique_index  # noqa: E402
 from slipway.plans import sql_models  # noqa: E402
 from slipway.schemas import NATIVE_ORDERS  # noqa: E402
 from slipway.sources import testdata as TD  # noqa: E402
@@ -482,6 +483,26 @@ def q_changed_keys(spark, sf_dir):
     return diff.changed_keys(q_version_changes(spark, sf_dir), ["order_id"])
 
 
+def q_unique_from_changes(spark, sf_dir):
+    """Duplicate keys after each change of the orders, found from the rows that changed: order 3's twins come and go."""
+    store = Store.scratch(spark)
+    o, _ = _stg(spark, sf_dir)
+    keys = [C.unique("order_id"), C.unique("customer_id", "ordered_at")]
+    k, out = F.col("order_id") % 10, []
+
+    def check(step):
+        for c in keys:
+            out.append(unique_index.unique_check(store, "blue", "stg_orders", c).select(F.lit(step).alias("step"), "*"))
+
+    store.build({"stg_orders": o.where(k != 0)})
+    check(1)
+    store.append("blue", "stg_orders", o.where(k.isin(0, 3)))
+    check(2)
+    store.merge("blue", "stg_orders", o.where(k == 3), ["order_id"])
+    check(3)
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 def q_blocked_models(spark, sf_dir):
     """Every node of every run with what it comes to: skipped below a failed one."""
     return graph.effective_status(TD.graph_nodes(spark, sf_dir), TD.graph_edges(spark, sf_dir))
@@ -559,6 +580,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_customers": q_incremental_customers,
         "version_changes": q_version_changes,
         "changed_keys": q_changed_keys,
+        "unique_from_changes": q_unique_from_changes,
         "blocked_models": q_blocked_models,
         "blocking_check_run": q_blocking_check_run,
     }
@@ -636,6 +658,20 @@ _FIRST_ORDERS_SQL = TD.oracle_with("mart_orders") + """
     SELECT * REPLACE (order_total + 1 AS order_total) FROM mart_orders"""
 
 
+def _unique_steps_sql() -> str:
+    steps = {1: "SELECT * FROM stg_orders WHERE order_id % 10 <> 0",
+             2: "SELECT * FROM stg_orders UNION ALL SELECT * FROM stg_orders WHERE order_id % 10 = 3",
+             3: "SELECT * FROM stg_orders"}
+    parts = []
+    for step, rows in steps.items():
+        for c in (C.unique("order_id"), C.unique("customer_id", "ordered_at")):
+            keys = ", ".join(c.columns)
+            v = f"(SELECT count(*) FROM (SELECT {keys} FROM ({rows}) GROUP BY {keys} HAVING count(*) > 1))"
+            parts.append(f"SELECT {step} AS step, '{c.name}' AS check_name, '{c.metric}' AS metric, {v} AS value, "
+                         f"{v} = 0 AS passed, '{c.severity}' AS severity, TRUE AS blocking")
+    return TD.oracle_with("stg_orders") + " UNION ALL ".join(parts)
+
+
 _CHANGES_SQL = TD.oracle_with("stg_orders") + """,
     first AS (
         SELECT order_id, customer_id, order_total + CASE WHEN order_id % 10 = 1 THEN 7.25 ELSE 0 END AS order_total,
@@ -659,6 +695,7 @@ def own_oracle_sql() -> dict[str, str]:
         "stg_customers": _view("stg_customers"),
         "concurrent_appends": _view("mart_orders"),
         "incremental_customers": _CUSTOMERS_SQL,
+        "unique_from_changes": _unique_steps_sql(),
         "version_changes": _CHANGES_SQL + "SELECT * FROM changes",
         "changed_keys": _CHANGES_SQL + """
             SELECT order_id, CAST(sum(greatest(copies, 0)) AS BIGINT) AS added,
