@@ -287,6 +287,31 @@ def test_neighbours_of_near_equal_vectors_and_uneven_norms(spark, kind):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("radius,jitter", [(1.7, 1e-5), (50.0, 1e-6)])
+def test_neighbours_of_nearly_one_vector_at_any_radius(spark, radius, jitter):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1, 32)) + rng.normal(size=(2500, 32)) * jitter
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True) * radius).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    best = collections.defaultdict(list)
+    for r in neighbour_graph.nearest(df, query_step=125).collect():
+        best[r.query_id].append(r.score)
+    recall = []
+    for q in range(0, 2500, 125):
+        score = np.delete(x @ x[q], q)
+        least = np.sort(score)[-20] - 1e-12 * radius * radius
+        recall.append(sum(s >= least for s in best[q]) / 20)
+    assert np.mean(recall) >= 0.9
+
+
+def test_neighbours_of_repeated_ids_and_clashing_names(spark):
+    rows = [(0, [1.0, 0.0], 1, 2, 3), (1, [5.0, 0.0], 1, 2, 3), (1, [2.0, 9.0], 1, 2, 3), (1, [2.0, 9.0], 1, 2, 3),
+            (2, [1.5, 1.0], 1, 2, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, node int, vec int, bucket int")
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in neighbour_graph.nearest(df).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 2.0), (0, 2, 2, 1.5)]
+
+
 # --- 5
 
 def test_licences(spark):
