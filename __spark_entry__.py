@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,8 +28,11 @@ from slipway.operators import diff, graph  # noqa: E402
 from slipway.operators import versions as V  # noqa: E402
 from slipway.plans import models as M  # noqa: E402
 from slipway.plans import flow, incremental, unique_index  # noqa: E402
+from slipway.functions import cursor_value, is_truthy, schema_name  # noqa: E402
 from slipway.plans import sql_models  # noqa: E402
-from slipway.schemas import NATIVE_ORDERS  # noqa: E402
+from slipway.schemas import NATIVE_ORDERS, RAW_CUSTOMERS, RAW_ORDERS  # noqa: E402
+from slipway.session import scratch_path  # noqa: E402
+from slipway.sources import classified, literal_frame, read_seed, read_texts  # noqa: E402
 from slipway.sources import testdata as TD  # noqa: E402
 from slipway.store import ConcurrentChange, Store  # noqa: E402
 from slipway.streaming import revert_on_failure  # noqa: E402
@@ -521,6 +525,130 @@ def q_blocking_check_run(spark, sf_dir):
     return store.state(env="blue").select("table_name", "action", "row_count")
 
 
+# --- seeds, existence, clones and flags ------------------------------------------
+
+def _csv(spark, df):
+    """The rows as CSV with a header, where every executor can read them."""
+    path = f"{scratch_path(spark)}/seed"
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def q_seed_load(spark, sf_dir):
+    """Orders and customers as CSV seeds, read with their schemas and built into the mart."""
+    o = read_seed(spark, _csv(spark, TD.raw_orders(spark, sf_dir)), RAW_ORDERS)
+    c = read_seed(spark, _csv(spark, TD.raw_customers(spark, sf_dir)), RAW_CUSTOMERS)
+    return M.mart_orders(M.stg_orders(o), M.stg_customers(c))
+
+
+SEED_ORDERS = T.StructType([T.StructField(f.name, f.dataType, f.name != "order_id") for f in RAW_ORDERS.fields])
+
+
+def _dirty_orders(spark, sf_dir):
+    """Orders as the lines of a CSV; those whose number leaves 3, 5, 7 or 9 modulo 101 are spoilt."""
+    k, o = F.col("order_id") % 101, TD.raw_orders(spark, sf_dir)
+    text = [F.col(c).cast("string") for c in o.columns]
+    text[1] = F.when(k == 3, F.lit("c-1")).otherwise(text[1])
+    text[2] = F.when(k.isin(3, 5), F.lit("12,5")).otherwise(text[2])
+    text[0] = F.when(k == 7, F.lit("")).otherwise(text[0])
+    quoted = [F.concat(F.lit('"'), t, F.lit('"')) for t in text]
+    line = F.concat_ws(",", F.when(k == 7, F.lit("")).otherwise(quoted[0]), *quoted[1:], F.when(k == 9, F.lit("more")))
+    path = f"{scratch_path(spark)}/dirty"
+    o.select(line.alias("line")).write.option("header", False).text(path)
+    return read_texts(spark, path, SEED_ORDERS, header=False)
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Why rows of a spoilt seed are rejected, and how many are good: one row per customer and reasons."""
+    rows = classified(_dirty_orders(spark, sf_dir), SEED_ORDERS)
+    return rows.groupBy(F.array_join("reasons", "; ").alias("reasons"), "customer_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_quarantined_seed(spark, sf_dir):
+    """A spoilt seed is landed: its good rows are promoted, as fewer than a tenth are rejected, but not with a limit of none."""
+    store, texts = Store.scratch(spark), _dirty_orders(spark, sf_dir)
+    flow.land_seed(store, "orders", texts, SEED_ORDERS)
+    assert flow.promote_if_passing(store, "orders", bootstrap=True) is None
+    flow.land_seed(store, "orders", texts, SEED_ORDERS, max_share=0.1)
+    assert flow.promote_if_passing(store, "orders", bootstrap=True) is not None
+    served = store.read("green", "orders")
+    rejects = store.read("blue", "orders__rejects")
+    return served.select("order_id", "customer_id", F.lit(None).cast("string").alias("reasons")).unionByName(
+        rejects.select(F.col("given.order_id").cast("bigint").alias("order_id"), F.lit(None).cast("bigint").alias("customer_id"),
+                       F.array_join("reasons", "; ").alias("reasons")))
+
+
+def q_literal_rows(spark, sf_dir):
+    """Inline rows that give each kind of node its strategy, joined with all nodes of the runs."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("resource_type", "strategy")])
+    kinds = literal_frame(spark, [("model", "blue_green"), ("seed", "none"), ("test", None)], schema)
+    return TD.run_results(spark, sf_dir).join(kinds, "resource_type", "left") \
+        .groupBy("resource_type", "strategy").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+def q_live_checks(spark, sf_dir):
+    """The duplicate check on the live orders, doubled in part, and on a table that was never published."""
+    store, o = Store.scratch(spark), native_orders(spark, sf_dir)
+    store.build({"orders": o.unionByName(o.where("order_id % 3 = 0"))}, env="green")
+    flow.check_live(store, "orders")
+    flow.check_live(store, "no_orders")
+    return store.check_results().select("asset", "check_name", "value", "passed",
+                                        F.coalesce(F.col("metadata")["missing"], F.lit("false")).alias("missing"))
+
+
+def q_existence(spark, sf_dir):
+    return V.existence(TD.publish_log(spark, sf_dir))
+
+
+def q_clone_keeps_extra(spark, sf_dir):
+    """An empty green gives nothing to clone; a clone that keeps what only blue has; an environment made by its first table."""
+    store = Store.scratch(spark)
+    marts = _marts(spark, sf_dir)
+    store.build({"blue_only": marts["mart_customers"]})
+    assert store.clone("green", "blue", drop_extra=False) is None and store.top_seq() == 1
+    assert not store.exists("green")
+    store.build(marts, env="green")
+    assert store.exists("green")
+    store.clone("green", "blue", drop_extra=False)
+    return store.state().select("env", "table_name", "action", "row_count")
+
+
+def q_flags(spark, sf_dir):
+    """Flags in several spellings and configured schema names, one of each per event."""
+    k, kind = F.col("event_id") % 7, F.col("event_type")
+    flag = F.when(k == 0, F.lit(" TRUE ")).when(k == 1, F.lit("Yes")).when(k == 2, F.lit("1")).when(k == 3, F.lit("no")) \
+        .when(k == 4, F.lit("")).when(k == 5, F.concat(F.lit(" "), F.upper(kind)))
+    name = F.when(k > 1, F.concat(F.lit("  "), kind, F.lit(" ")))
+    return TD.table(spark, sf_dir, "events").select("event_id", is_truthy(flag).alias("on"),
+                                                    schema_name(name, "analytics").alias("schema_name"))
+
+
+def q_cursors(spark, sf_dir):
+    """Cursors stored as text, and none, as numbers; the evaluations after each asset's."""
+    e = TD.table(spark, sf_dir, "events")
+    stored = e.groupBy("user_id").agg(F.expr("cast((min(event_id) + max(event_id)) div 2 as string)").alias("text"))
+    stored = stored.select("user_id", cursor_value(F.when(F.col("user_id") % 3 > 0, F.col("text"))).alias("cursor"))
+    return e.join(stored, "user_id").groupBy("user_id", "cursor") \
+        .agg(F.count_if(F.col("event_id") > F.col("cursor")).alias("after"))
+
+
+def q_compacted_appends(spark, sf_dir):
+    """A table of a build and 23 appends, packed into fewer folders; the state of 12 appends is still there."""
+    store = Store.scratch(spark)
+    mart, k = q_mart_orders(spark, sf_dir), F.col("order_id") % 24
+    store.build({"mart_orders": mart.where(k == 0)}, env="green")
+    for i in range(1, 24):
+        store.append("green", "mart_orders", mart.where(k == i))
+    bytes_ = sum(store.fs.size(p) for p in store.version("green", "mart_orders").paths)
+    store.compact("green", "mart_orders", target_bytes=bytes_ // 3)
+    reader = Store(spark, store.root)
+    now = reader.version("green", "mart_orders")
+    assert len(now.paths) <= 5 and now.action == "compact", now
+    then = reader.version_at("green", "mart_orders", 13)
+    return reader.read_version(now).select(F.lit("now").alias("at"), "*").unionByName(
+        reader.read_version(then).select(F.lit("then").alias("at"), "*"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: build both marts, check them, gate the run, promote, and
     read what green serves."""
@@ -583,6 +711,16 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unique_from_changes": q_unique_from_changes,
         "blocked_models": q_blocked_models,
         "blocking_check_run": q_blocking_check_run,
+        "seed_load": q_seed_load,
+        "rejected_rows": q_rejected_rows,
+        "quarantined_seed": q_quarantined_seed,
+        "literal_rows": q_literal_rows,
+        "live_checks": q_live_checks,
+        "existence": q_existence,
+        "clone_keeps_extra": q_clone_keeps_extra,
+        "flags": q_flags,
+        "cursors": q_cursors,
+        "compacted_appends": q_compacted_appends,
     }
 
 
@@ -684,6 +822,11 @@ _CHANGES_SQL = TD.oracle_with("stg_orders") + """,
     """
 
 
+_REASONS_SQL = """CASE order_id % 101
+    WHEN 3 THEN 'customer_id: not bigint; order_total: not double' WHEN 5 THEN 'order_total: not double'
+    WHEN 7 THEN 'order_id: missing' WHEN 9 THEN 'fields' ELSE '' END"""
+
+
 def oracle_sql() -> dict[str, str]:
     return own_oracle_sql() | (LLM.oracle_sql() if LLM else {})
 
@@ -722,6 +865,55 @@ def own_oracle_sql() -> dict[str, str]:
         "blocking_check_run": """
             SELECT 'stg_orders' AS table_name, 'build' AS action, count(*) AS row_count FROM orders
             UNION ALL SELECT 'stg_customers', 'build', count(*) + 1 FROM customer""",
+        "seed_load": _view("mart_orders"),
+        "rejected_rows": w("raw_orders") + f"""
+            SELECT {_REASONS_SQL} AS reasons,
+                   CASE WHEN order_id % 101 = 3 THEN NULL ELSE customer_id END AS customer_id, count(*) AS n
+            FROM raw_orders GROUP BY ALL""",
+        "quarantined_seed": w("raw_orders") + f"""
+            SELECT CASE WHEN order_id % 101 = 7 THEN NULL ELSE order_id END AS order_id,
+                   CASE WHEN order_id % 101 IN (3, 5, 7, 9) THEN NULL ELSE customer_id END AS customer_id,
+                   nullif({_REASONS_SQL}, '') AS reasons
+            FROM raw_orders""",
+        "literal_rows": w("run_results") + """
+            SELECT resource_type, CASE WHEN resource_type = 'model' THEN 'blue_green' END AS strategy, count(*) AS nodes
+            FROM run_results GROUP BY ALL""",
+        "live_checks": f"""
+            WITH src AS ({NATIVE_SQL}),
+            dup AS (SELECT count(*) AS n FROM (
+                SELECT order_id FROM (SELECT order_id FROM src UNION ALL SELECT order_id FROM src WHERE order_id % 3 = 0)
+                GROUP BY order_id HAVING count(*) > 1))
+            SELECT 'green.orders' AS asset, 'no_duplicate_order_ids' AS check_name, n AS value, n = 0 AS passed,
+                   'false' AS missing FROM dup
+            UNION ALL SELECT 'green.no_orders', 'no_duplicate_order_ids', 0, TRUE, 'true'""",
+        "existence": w("publish_log") + """
+            SELECT env, table_name, table_exists, bool_or(table_exists) OVER (PARTITION BY env) AS env_exists
+            FROM (SELECT env, table_name, paths IS NOT NULL AS table_exists,
+                         row_number() OVER (PARTITION BY env, table_name ORDER BY seq DESC) AS rn FROM publish_log)
+            WHERE rn = 1""",
+        "clone_keeps_extra": """
+            SELECT env, table_name, action,
+                   CASE WHEN table_name = 'mart_orders' THEN (SELECT count(*) FROM orders)
+                        ELSE (SELECT count(*) FROM customer) END AS row_count
+            FROM (VALUES ('blue', 'blue_only', 'build'), ('green', 'mart_orders', 'build'), ('green', 'mart_customers', 'build'),
+                         ('blue', 'mart_orders', 'clone'), ('blue', 'mart_customers', 'clone')) t(env, table_name, action)""",
+        "flags": """
+            SELECT event_id, coalesce(lower(trim(flag)) IN ('true', '1', 'yes'), FALSE) AS "on",
+                   coalesce(trim(name), 'analytics') AS schema_name
+            FROM (SELECT event_id,
+                         CASE event_id % 7 WHEN 0 THEN ' TRUE ' WHEN 1 THEN 'Yes' WHEN 2 THEN '1' WHEN 3 THEN 'no'
+                              WHEN 4 THEN '' WHEN 5 THEN ' ' || upper(event_type) END AS flag,
+                         CASE WHEN event_id % 7 > 1 THEN '  ' || event_type || ' ' END AS name
+                  FROM events)""",
+        "cursors": """
+            SELECT user_id, cursor, count(*) FILTER (WHERE event_id > cursor) AS after
+            FROM (SELECT e.user_id, event_id, CASE WHEN e.user_id % 3 > 0 THEN mid ELSE 0 END AS cursor
+                  FROM events e JOIN (SELECT user_id, (min(event_id) + max(event_id)) // 2 AS mid FROM events GROUP BY user_id) m
+                  ON e.user_id = m.user_id)
+            GROUP BY user_id, cursor""",
+        "compacted_appends": w("mart_orders") + """
+            SELECT 'now' AS "at", * FROM mart_orders
+            UNION ALL SELECT 'then', * FROM mart_orders WHERE order_id % 24 <= 12""",
         "mart_orders": _view("mart_orders"),
         "mart_customers": _CUSTOMERS_SQL,
         "mart_orders_sql": _view("mart_orders"),

@@ -40,6 +40,8 @@ def main(argv=None, spark=None) -> dict:
     s.add_argument("--as-of"); s.add_argument("--to", default="previous")
     s = sub.add_parser("expire"); s.add_argument("root")
     s.add_argument("--retain-seconds", type=float, default=86400.0)
+    s = sub.add_parser("compact"); s.add_argument("root"); s.add_argument("table")
+    s.add_argument("--env", default="green"); s.add_argument("--target-bytes", type=int, default=1 << 30)
     s = sub.add_parser("checks"); s.add_argument("root"); s.add_argument("--asset")
     s = sub.add_parser("history"); s.add_argument("root"); s.add_argument("--env")
     s.add_argument("--table")
@@ -66,6 +68,8 @@ def main(argv=None, spark=None) -> dict:
                 .select("seq", "ts", "env", "table_name", "action", "row_count", "run_key")
                 .orderBy("seq", "env", "table_name").collect())
         out = {"history": [r.asDict() for r in rows]}
+    elif args.cmd == "compact":
+        out = {"seq": store.compact(args.env, args.table, args.target_bytes), "tables": _state(store, args.env, None)}
     elif args.cmd == "expire":
         out = {"deleted": store.expire(args.retain_seconds)}
     else:

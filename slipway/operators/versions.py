@@ -24,7 +24,7 @@ FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType
                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 STATE_COLS = ("seq", "ts", "action", "paths", "row_count", "run_key", "schema_json",
-              "published_seq", "prev_seq")
+              "published_seq", "prev_seq", "base_seq", "depth")
 
 # Fixed value: the name pattern of snapshot tables left out of a clone.
 SNAPSHOT_PATTERN = "%__snapshot"
@@ -71,9 +71,38 @@ def resolve(log: DataFrame, as_of=None, env: str | None = None,
         log = log.where(F.col("ts") <= _as_time(as_of))
     cols = [c for c in STATE_COLS if c in log.columns]
     state = latest_by(log, ["env", "table_name"], "seq", cols)
+    if "added" in log.columns:
+        state = _replayed(log, state)
     return state if keep_dropped else state.where(F.col("paths").isNotNull())
 
 
+def chain() -> Column:
+    """The commit that holds the whole file list a log row starts from: its own, or its ``base_seq``."""
+    return F.coalesce("base_seq", "seq")
+
+
+def _replayed(log: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` with the file lists of tables whose latest row is a delta: the list of its base and
+    what the deltas since then added, in order. Only rows on that base are gathered."""
+    keys = ["env", "table_name", "_chain"]
+    tip = state.where(F.col("base_seq").isNotNull()) \
+        .select("env", "table_name", F.col("base_seq").alias("_chain"), F.col("seq").alias("_tip"))
+    step = F.struct("seq", F.coalesce("added", "paths").alias("files"))
+    lists = log.withColumn("_chain", chain()).join(tip, keys).where(F.col("seq") <= F.col("_tip")) \
+        .groupBy("env", "table_name") \
+        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(step)), lambda s: s["files"])).alias("_files"))
+    return state.join(lists, ["env", "table_name"], "left") \
+        .withColumn("paths", F.coalesce("_files", "paths")).drop("_files")
+
+
+def existence(log: DataFrame, as_of=None) -> DataFrame:
+    """For every table that the log ever named: is it there, and is its environment (any table of it)?"""
+    state = resolve(log, as_of=as_of, keep_dropped=True) \
+        .select("env", "table_name", F.col("paths").isNotNull().alias("table_exists"))
+    envs = state.groupBy("env").agg(F.bool_or("table_exists").alias("env_exists"))
+    return state.join(envs, "env").select("env", "table_name", "table_exists", "env_exists")
+
+
 def as_path(paths_col="paths") -> Column:
     """The file set of a version as one text value."""
     return F.array_join(F.col(paths_col), ",")
@@ -88,7 +117,7 @@ def clonable(state: DataFrame, env: str = "green",
     listing does.
     """
     return (state.where((F.upper(F.col("env")) == F.upper(F.lit(env)))
-                        & F.col("action").isin("publish", "swap", "clone", "build", "revert", "append", "merge")
+                        & F.col("action").isin("publish", "swap", "clone", "build", "revert", "append", "merge", "compact")
                         & ~F.col("table_name").like(snapshot_pattern))
             .select("table_name"))
 

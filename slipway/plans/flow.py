@@ -28,7 +28,7 @@ from slipway import schemas
 from slipway.operators import checks as C
 from slipway.operators import gates as G
 from slipway.operators import graph
-from slipway.sources.seeds import conform, literal_frame
+from slipway.sources.seeds import classified, conform, literal_frame
 from slipway.store import ConcurrentChange, NothingToRevert, Store
 
 PROJECT = "slipway"
@@ -225,6 +225,19 @@ def land(store: Store, table: str, df: DataFrame, checks: Sequence[C.Check],
     return evaluate(store, env, table, checks, written)
 
 
+def land_seed(store: Store, table: str, texts: DataFrame, schema, env: str = "blue", max_share: float = 0.0) -> DataFrame:
+    """Land text rows: those that fit ``schema`` as ``table``, the others with their reasons as
+    ``<table>__rejects``, both in one commit. Records the blocking check ``rejected_rows``, which passes
+    if at most ``max_share`` of all rows were rejected (no rows at all: passes), and returns it."""
+    good, bad = store.write_split(table, f"{table}__rejects", classified(texts, schema), schema)
+    store.commit([{"env": env, "table_name": w.table_name, "action": "build", "paths": w.paths,
+                   "row_count": w.row_count, "schema_json": w.schema_json} for w in (good, bad)])
+    passed = bad.row_count <= max_share * (good.row_count + bad.row_count)
+    result = literal_frame(store.spark, [("rejected_rows", "rejected", bad.row_count, passed, "ERROR", True)],
+                           C.RESULT_SCHEMA)
+    return store.record_checks(asset_name(env, table), result)
+
+
 def promote_if_passing(store: Store, table: str, src: str = "blue", dst: str = "green",
                        bootstrap: bool = False,
                        checks: Sequence[C.Check] | None = None) -> int | None:

@@ -66,5 +66,15 @@ LOG_FIELDS = [
     T.StructField("published_seq", T.LongType()),
     T.StructField("prev_seq", T.LongType()),
 ]
-LOG_FILE = T.StructType(LOG_FIELDS)
-LOG = T.StructType(LOG_FIELDS + [T.StructField("seq", T.LongType())])
+# A delta row has NULL ``paths`` and the folders it ``added`` to the rows before
+# it, back to the whole list at commit ``base_seq``; ``depth`` counts the deltas
+# on that base. A state checkpoint keeps both beside the whole list.
+DELTA_FIELDS = [
+    T.StructField("added", T.ArrayType(T.StringType())),
+    T.StructField("base_seq", T.LongType()),
+    T.StructField("depth", T.LongType()),
+]
+SEQ = T.StructField("seq", T.LongType())
+LOG_FILE = T.StructType(LOG_FIELDS + DELTA_FIELDS)
+LOG = T.StructType(LOG_FIELDS + [SEQ])
+STORED_LOG = T.StructType(LOG_FIELDS + DELTA_FIELDS + [SEQ])

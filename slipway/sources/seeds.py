@@ -18,6 +18,45 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
             .csv(path))
 
 
+# Columns that ``classified`` adds.
+REJECT_COLS = ("given", "line", "reasons")
+
+
+def read_texts(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """A CSV, with a header row or without, its columns as text, and ``line``: the whole line where it has
+    another number of fields, else NULL. Nothing fails on a bad row; see ``classified``."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                         + [T.StructField("line", T.StringType())])
+    # whatever columns a query needs, the number of fields is that of the whole line
+    return (spark.read.schema(texts).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "line").option("columnPruning", False).csv(path))
+
+
+def classified(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns in ``schema``'s types, with ``reasons`` (text array, sorted by column; empty for a good row).
+
+    A reason is ``<column>: not <type>`` for a text that does not cast, ``<column>: missing`` for a
+    NULL in a column that the schema says has none, or ``fields`` for a line with another number of
+    fields, which has no other. ``given`` holds the texts of a rejected row, ``line`` the line.
+    """
+    clash = [f.name for f in schema.fields if f.name in REJECT_COLS]
+    if clash:
+        raise ValueError(f"columns with names that the rejects need: {clash}")
+    line = F.col("line") if "line" in texts.columns else F.lit(None).cast("string")
+    reasons = [F.when(line.isNotNull(), F.lit("fields"))]
+    for f in schema.fields:
+        bad = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        reason = F.when(bad, F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
+        if not f.nullable:
+            reason = reason.when(F.col(f.name).isNull(), F.lit(f"{f.name}: missing"))
+        reasons.append(F.when(line.isNull(), reason))
+    why = F.array_compact(F.array(*reasons))
+    given = F.struct(*[F.col(f.name) for f in schema.fields])
+    return texts.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                        F.when(F.size(why) > 0, given).alias("given"), F.when(F.size(why) > 0, line).alias("line"),
+                        why.alias("reasons"))
+
+
 def read_table(spark: SparkSession, path: str,
                schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read

@@ -55,6 +55,11 @@ class FS:
         return any(s.isFile() and not str(s.getPath().getName()).startswith(("_", "."))
                    for s in fs.listStatus(jp))
 
+    def size(self, p: str) -> int:
+        """Bytes of the files below ``p``."""
+        jp = self._path(p)
+        return int(self._fs(jp).getContentSummary(jp).getLength())
+
     def modified_ms(self, p: str) -> int:
         """Last modification time of ``p`` in epoch milliseconds."""
         jp = self._path(p)
