@@ -112,7 +112,8 @@ def pack(found: DataFrame, capacity: int = 2048, open_bins: int = 1024, pieces_p
                                              [*batch.schema.names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    key = F.xxhash64(id_col, "piece")
+    # rows of one id (null, repeated) are dealt by what they hold
+    key = F.xxhash64(id_col, "piece", *(c for c in ("length", "ids_crc32") if c in found.columns))
     return found.repartition(tasks, key).sortWithinPartitions(key, id_col, "piece", *sorted(set(found.columns))) \
         .mapInArrow(place, schema + ", sequence_id long, offset long")
 

@@ -88,7 +88,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     """doc_id, source, size, source_size, target, copies, taken of every row."""
     units = stored(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
-        F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "units")
+        F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(id_col, text_col, F.lit(seed)).alias("mark")), "units")
     totals = units.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     goal = stored(targets(totals.select("source", "source_size"), weights, share, most)
                   .join(totals.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s")))
@@ -98,8 +99,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
         goal.withColumn("rate", rate), F.col("of").eqNullSafe(F.col("source"))) \
         .select("doc_id", "source", "size", F.floor("rate").cast("double").alias("whole"),
                 (F.col("rate") - F.floor("rate")).alias("part"),
-                F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(seed)),
-                       F.ceil(F.col("n") / group)).alias("bucket"))
+                F.pmod("mark", F.ceil(F.col("n") / group)).alias("bucket"))
     open_ = (F.col("size") > 0) & (F.col("part") > 1e-12) & (F.col("part") < 1 - 1e-12)
     done = [split.where(~open_)]
     rest = split.where(open_)
@@ -108,7 +108,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
         def settled(rows: pd.DataFrame) -> pd.DataFrame:
             ids = rows["doc_id"].fillna(-1).to_numpy().astype(np.int64)
             size = rows["size"].to_numpy()
-            order = np.lexsort((size, ids, _uniform(ids, size, seed + 2 * level)))
+            # largest first: what is left open in the end is a small document
+            order = np.lexsort((ids, _uniform(ids, size, seed + 2 * level), -size))
             rows = rows.iloc[order]
             chance = _uniform(ids, size, seed + 2 * level + 1)[order]
             return rows.assign(part=settle(rows["size"].to_numpy(float), rows["part"].to_numpy(), chance),
