@@ -6,9 +6,12 @@ and once at all line ends; other signs and white space become one space. A
 sentence equal to a known licence sentence becomes its identifier, others are
 left out. Of a notice ("this work is licensed under the ...", an SPDX line)
 only the licence named counts, without words like "license" and "version", so
-every usual wording of it has one identifier. A rule is the ordered identifiers
+every usual wording of it has one identifier; so do titles ("The MIT License"), fields
+("License: MIT") and, where the whole is no name, the names between "or", "and"
+and "with" of an expression or dual licence. A rule is the ordered identifiers
 of one licence text; it matches if a document holds them in that order, other
-known sentences may stand between. All of it is built-in column functions in
+known sentences may stand between. A rule whose identifiers lie in order within a
+longer one counts only outside what the longer one matched. All of it is built-in column functions in
 one scan. A name without a version gives the family ("GPL", "CC-BY").
 
 Edge cases: a null or empty text has no identifiers and no licence; texts of
@@ -19,6 +22,7 @@ an empty result; only the id and the text are read.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,6 +211,15 @@ AFTER = (" (see|https?|www|which|whose|as published|only|or later|or newer|or hi
 #: words that make no other licence
 SMALL = "\\b(licen[cs]es?|version|v|the|gnu|international|intl|unported|generic|public|of|software|0)\\b"
 
+#: a field that names the licence
+FIELD = "(^|[\\x0A\\x0D])[^a-z0-9\\x0A\\x0D|]*licen[cs]e[\"']?[\\x09\\x20]*:[\\x09\\x20]*"
+#: a sentence that is the name of a licence
+TITLE = "^[a-z0-9 ]+ licen[cs]e( (version |v)?[0-9]( [0-9])?)?$"
+TITLE_LENGTH = 80
+#: what joins names, and words around them
+JOINS = " (or|and|with) "
+CHOICE = "\\b(either|both|one|any|at|your|option|choice)\\b"
+
 
 def reduced(name: str) -> str:
     """A notice "under ..." as the name alone."""
@@ -259,8 +272,28 @@ def patterns(found: list[tuple[str, list[int]]]) -> dict[str, list[str]]:
     return by_name
 
 
+def longer(found: list[tuple[str, list[int]]]) -> dict[str, list[tuple[list[int], list[list[int]]]]]:
+    """By licence: its rules that lie within longer ones of other licences, with these."""
+    def within(a, b):
+        rest = iter(b)
+        return len(a) < len(b) and all(x in rest for x in a)
+
+    out: dict[str, list] = {}
+    for licence, ids in found:
+        around = [b for other, b in found if other != licence and within(ids, b)]
+        if around:
+            out.setdefault(licence, []).append((ids, sorted(around, key=len, reverse=True)))
+    return out
+
+
+def spans(ids: list[int]) -> list[str]:
+    """What a longer rule matched: with nothing between its identifiers, then with as little as can be."""
+    return [",(" + gap.join(f"{i}," for i in ids) + ")+" for gap in ("", "([0-9]+,)*?")]
+
+
 def _ids(text: Column, known: dict[str, int], at_lines: bool) -> Column:
     text = F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "|", " "), SHORT, "v $2")
+    text = F.regexp_replace(text, FIELD, "$1|spdx license identifier ")
     if at_lines:
         text = F.regexp_replace(text, LINE_END, "|")
     else:
@@ -273,18 +306,32 @@ def _ids(text: Column, known: dict[str, int], at_lines: bool) -> Column:
 
     def look(table, s):
         both = (F.split(F.lit("|".join(map(str, x))), "[|]") for x in (table.keys(), table.values()))
-        return F.try_element_at(F.map_from_arrays(*both), s) if table else F.lit(None).cast("string")
+        if not table:
+            return F.lit(None).cast("string")
+        # the map is searched from its start, so first whether a known sentence has this length (one sign per length)
+        lengths = {len(k) for k in table}
+        some = "".join("x" if n in lengths else "-" for n in range(max(lengths) + 1))
+        return F.when(F.substr(F.lit(some), F.length(s) + 1, F.lit(1)) == "x", F.try_element_at(F.map_from_arrays(*both), s))
 
     def name(s):
         s = F.regexp_replace(F.regexp_replace(F.concat(s, F.lit(" ")), AFTER, ""), "\\bv([0-9])", "$1")
         return F.trim(F.regexp_replace(F.regexp_replace(s, SMALL, " "), " +", " "))
 
-    def identifier(s):
-        s = F.trim(s)
-        return F.when(s.startswith("under "), look(notices, name(s))).otherwise(look(others, s))
+    def named(s):
+        title = (F.length(s) < TITLE_LENGTH) & s.contains("licen") & s.rlike(TITLE) & look(others, s).isNull()
+        return F.when(s.startswith("under "), name(s)).when(title, name(F.concat(F.lit("under "), s))).otherwise(s)
+
+    def part(p):
+        return look(notices, F.concat(F.lit("under "), F.trim(F.regexp_replace(F.regexp_replace(p, CHOICE, " "), " +", " "))))
+
+    def identifiers(s):
+        joined = s.startswith("under ") & s.rlike(JOINS) & look(notices, s).isNull()
+        return F.when(joined, F.transform(F.split(F.substr(s, F.lit(7)), JOINS), part)) \
+            .when(s.startswith("under "), F.array(look(notices, s))).otherwise(F.array(look(others, s)))
 
-    found = F.filter(F.transform(F.split(text, "[|]"), identifier), lambda i: i.isNotNull())
-    return F.when(F.size(found) > 0, F.concat(F.lit(","), F.array_join(found, ","), F.lit(","))).otherwise("")
+    pieces = F.transform(F.split(text, "[|]"), lambda s: named(F.trim(s)))
+    found = F.filter(F.flatten(F.transform(pieces, identifiers)), lambda i: i.isNotNull())
+    return F.regexp_replace(F.concat(F.lit(","), F.array_join(found, ","), F.lit(",")), "^,,$", "")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -294,9 +341,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = docs.select(F.col(id_col), _ids(F.col(text_col), known, False).alias("sentence_ids"),
                          _ids(F.col(text_col), known, True).alias("line_ids"))
     both = F.concat("sentence_ids", F.lit("#"), "line_ids")
-    names = F.array_join(F.array_compact(F.array(*(F.when(both.rlike("|".join(ps)), F.lit(x))
-                                                   for x, ps in patterns(found).items()))), ",")
-    return marked.withColumn("licences", F.when(both == "#", "").otherwise(names))
+    inner = longer(found)
+
+    def hit(both, licence, every):
+        outside = [F.lit(False)]
+        for ids, around in inner.get(licence, []):
+            rest = both
+            for span in (s for b in around for s in spans(b)):
+                rest = F.regexp_replace(rest, span, ",")
+            outside.append(rest.rlike(pattern(ids)))
+        plain = [p for p in every if p not in {pattern(ids) for ids, _ in inner.get(licence, [])}]
+        return reduce(lambda a, b: a | b, outside, both.rlike("|".join(plain)) if plain else F.lit(False))
+
+    def names(both):
+        hits = (F.when(hit(both, x, ps), F.lit(x)) for x, ps in patterns(found).items())
+        return F.when(both == "#", "").otherwise(F.array_join(F.array_compact(F.array(*hits)), ","))
+
+    # in a lambda: a filter on the names that is pushed below them then holds the identifiers' expression once
+    return marked.withColumn("licences", F.element_at(F.transform(F.array(both), lambda b: names(b)), 1))
 
 
 def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> str:
@@ -306,6 +368,7 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
     notices = [s for s in known if s.startswith("under ")]
     others = [s for s in known if not s.startswith("under ")]
     base = f"regexp_replace(translate(lower(coalesce({text_col}, '')), '|', ' '), '{SHORT}', 'v \\2', 'g')"
+    base = f"regexp_replace({base}, {quoted(FIELD)}, '\\1|spdx license identifier ', 'g')"
     at_lines = f"regexp_replace({base}, '[\\x0A\\x0D]+', '|', 'g')"
 
     by_paragraph = f"regexp_replace({base}, '{NEW_LINE}', chr(10), 'g')"
@@ -314,16 +377,38 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
     def ids(text):
         cut = f"regexp_replace(regexp_replace({text}, '[.;:!?]+([\\x09-\\x0D\\x20]+|$)', '|', 'g'), '[^a-z0-9|]+', ' ', 'g')"
         cut = f"regexp_replace({cut}, {quoted(NOTICE)}, '|under ', 'g')"
-        name = f"regexp_replace(regexp_replace(trim(s) || ' ', {quoted(AFTER)}, ''), '\\bv([0-9])', '\\1', 'g')"
-        name = f"trim(regexp_replace(regexp_replace({name}, {quoted(SMALL)}, ' ', 'g'), ' +', ' ', 'g'))"
+
+        def name(s):
+            s = f"regexp_replace(regexp_replace({s} || ' ', {quoted(AFTER)}, ''), '\\bv([0-9])', '\\1', 'g')"
+            return f"trim(regexp_replace(regexp_replace({s}, {quoted(SMALL)}, ' ', 'g'), ' +', ' ', 'g'))"
+
         look = lambda names, x: (f"[{', '.join(str(known[n]) for n in names)}]"
                                  f"[list_position([{', '.join(map(quoted, names))}], {x})]")
-        one = f"CASE WHEN starts_with(trim(s), 'under ') THEN {look(notices, name)} ELSE {look(others, 'trim(s)')} END"
-        got = f"list_filter(list_transform(string_split({cut}, '|'), lambda s: {one}), lambda i: i IS NOT NULL)"
+        known_other = f"list_contains([{', '.join(map(quoted, others))}], trim(s))"
+        named = (f"CASE WHEN starts_with(trim(s), 'under ') THEN {name('trim(s)')} "
+                 f"WHEN length(trim(s)) < {TITLE_LENGTH} AND contains(s, 'licen') AND regexp_matches(trim(s), {quoted(TITLE)}) "
+                 f"AND NOT {known_other} THEN {name("'under ' || trim(s)")} ELSE trim(s) END")
+        part = f"'under ' || trim(regexp_replace(regexp_replace(p, {quoted(CHOICE)}, ' ', 'g'), ' +', ' ', 'g'))"
+        parts = f"list_transform(string_split_regex(substr(s, 7), {quoted(JOINS)}), lambda p: {look(notices, part)})"
+        many = (f"CASE WHEN starts_with(s, 'under ') AND {look(notices, 's')} IS NULL AND regexp_matches(s, {quoted(JOINS)}) "
+                f"THEN {parts} WHEN starts_with(s, 'under ') THEN [{look(notices, 's')}] ELSE [{look(others, 's')}] END")
+        pieces = f"list_transform(string_split({cut}, '|'), lambda s: {named})"
+        got = f"list_filter(flatten(list_transform({pieces}, lambda s: {many})), lambda i: i IS NOT NULL)"
         return f"coalesce(',' || nullif(array_to_string({got}, ','), '') || ',', '')"
 
-    hits = ", ".join(f"CASE WHEN regexp_matches(sentence_ids || '#' || line_ids, {quoted('|'.join(ps))}) THEN {quoted(x)} END"
-                     for x, ps in patterns(found).items())
+    both, inner = "sentence_ids || '#' || line_ids", longer(found)
+
+    def hit(licence, every):
+        tests, inside = [], {pattern(ids) for ids, _ in inner.get(licence, [])}
+        for ids, around in inner.get(licence, []):
+            rest = both
+            for span in (s for b in around for s in spans(b)):
+                rest = f"regexp_replace({rest}, {quoted(span)}, ',', 'g')"
+            tests.append(f"regexp_matches({rest}, {quoted(pattern(ids))})")
+        plain = [p for p in every if p not in inside]
+        return " OR ".join(tests + ([f"regexp_matches({both}, {quoted('|'.join(plain))})"] if plain else []))
+
+    hits = ", ".join(f"CASE WHEN {hit(x, ps)} THEN {quoted(x)} END" for x, ps in patterns(found).items())
     return f"""SELECT {id_col}, sentence_ids, line_ids,
                       array_to_string(list_filter([{hits}], lambda x: x IS NOT NULL), ',') AS licences
                FROM (SELECT {id_col}, {ids(by_paragraph)} AS sentence_ids, {ids(at_lines)} AS line_ids FROM {table})"""

@@ -5,8 +5,8 @@ its documents. The whole part is certain; the fractional parts are rounded
 together. Two fractional documents trade words at random, one giving what the
 other takes, until the copies of one are integral; expectations stay as they
 are and so does the source's number of words. Documents meet in bounded
-groups by a hash of their id, each group leaves one fractional document at
-most, and these meet again in groups of groups up to one per source, which is
+groups by a hash of their id and text, each group leaves one fractional document at
+most, a small one as the largest come first, and these meet again in groups of groups up to one per source, which is
 rounded on its own. So a source misses its target by less than one document,
 and a source with a third of all rows is spread like any other.
 

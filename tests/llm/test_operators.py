@@ -578,3 +578,23 @@ def test_pipeline_stages(spark):
     assert counts[0] > counts[1] > counts[2] > counts[3] > 0 and counts[4] > 0
     packed = P.pack(spark, docs, sf)
     assert packed.where("piece = 0").count() == counts[4]
+
+
+def test_licence_rules_within_longer_ones(spark):
+    two, three = (license_rules.LICENCE_TEXTS[f"BSD-{n}-Clause"][0] for n in (2, 3))
+    gap = three.replace("Neither the name", "Released under the MIT License. Neither the name")
+    texts = [two, three, f"{two}\n\n{three}", f"{three}\n\n{two}", f"{three}\n\n{three}", gap, license_rules.LICENCE_TEXTS["Apache-2.0"][1]]
+    wanted = ["BSD-2-Clause", "BSD-3-Clause", "BSD-2-Clause,BSD-3-Clause", "BSD-2-Clause,BSD-3-Clause", "BSD-3-Clause",
+              "BSD-3-Clause,MIT", "Apache-2.0"]
+    assert licences(spark, texts) == wanted
+
+
+def test_licence_expressions_titles_and_fields(spark):
+    wanted = {"SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT", "SPDX-License-Identifier: (MIT OR Apache-2.0)": "Apache-2.0,MIT",
+              "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "Apache-2.0,MIT",
+              "Dual licensed under the MIT and GPL licenses.": "GPL,MIT", "MIT License": "MIT", "The MIT License\n\nCopyright (c) 2020": "MIT",
+              "License: MIT": "MIT", "name: x\nLicense: Apache-2.0\nauthor: y": "Apache-2.0", '{\n  "license": "ISC",\n': "ISC",
+              "Mozilla Public License 2.0": "MPL-2.0", "GPL-2.0": "", "See the license.": "", "the license": "", "license": "",
+              "License: see the file": "", "He asked about the licence and left.": "", "Licensed under the sea and the stars.": "",
+              "MIT": "", "": ""}
+    assert licences(spark, list(wanted)) == list(wanted.values())
