@@ -312,6 +312,43 @@ def test_neighbours_of_repeated_ids_and_clashing_names(spark):
     assert got == [(0, 1, 1, 2.0), (0, 2, 2, 1.5)]
 
 
+def test_neighbours_take_few_tasks_and_one_worker_each(spark, monkeypatch):
+    """Small partitions are joined however many are asked for, and no task runs two Python steps at once."""
+    rng, plans, kept = np.random.default_rng(7), [], neighbour_graph.stored
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 16)))],
+                               "vec_id long, embedding array<float>")
+
+    def planned(frame, kind):
+        plans.append(frame._jdf.queryExecution().sparkPlan().toString())
+        return kept(frame, kind)
+
+    monkeypatch.setattr(neighbour_graph, "stored", planned)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.sparkContext.setJobGroup("few tasks", "")
+    try:
+        neighbour_graph.nearest(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few tasks")]
+    stages = [tracker.getStageInfo(s) for j in jobs for s in j.stageIds]
+    assert max(s.numCompletedTasks for s in stages if s) < 97
+    steps = [re.findall(r"MapInArrow|Exchange", plan) for plan in plans if "Union" not in plan]
+    assert any("MapInArrow" in step for step in steps)
+    assert not any(a == b == "MapInArrow" for step in steps for a, b in zip(step, step[1:]))
+
+
+def test_best_of_slices_is_best_of_all():
+    rng = np.random.default_rng(8)
+    parts = [(rng.integers(0, 40, n), rng.integers(0, 3000, n), rng.integers(0, 500, n) / 500.0)
+             for n in (0, 70_000, 5, 90_000, 40_000, 0, 100_000)]
+    got = neighbour_graph._best_of(iter(parts), 32)
+    want = neighbour_graph._best(*(np.concatenate(x) for x in zip(*parts)), 32)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
 # --- 5
 
 def test_licences(spark):
