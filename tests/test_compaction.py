@@ -180,3 +180,18 @@ def test_landing_one_sided_and_empty(spark, store, lines, good, bad):
     assert passed == (bad == 0)
     assert store.read("blue", "s").count() == good and store.read("blue", "s__rejects").count() == bad
     assert os.path.basename(store.version("blue", "s").paths[0]).startswith("v=")
+
+
+@pytest.mark.parametrize("name,appends", [("compacted_appends", 23), ("concurrent_appends", 6)])
+def test_appends_join_the_mart_once(spark, monkeypatch, name, appends):
+    """What is appended is a slice of the stored mart: a join in each would broadcast the customers as often."""
+    import __spark_entry__ as E
+    plans, kept = [], Store.append
+
+    def planned(self, env, table, df, *args, **more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(self, env, table, df, *args, **more)
+
+    monkeypatch.setattr(Store, "append", planned)
+    E.queries()[name](spark, E.SMOKE_DIR)
+    assert len(plans) == appends and not any("Join" in plan for plan in plans)
