@@ -494,6 +494,82 @@ def test_rows_without_an_id_hide_no_near_copies(spark):
     assert sorted(got, key=str) == sorted([(None, None)] * 2 + [(1, 1), (2, 1), (3, 3)], key=str)
 
 
+def test_unlike_documents_that_share_passages_are_no_cluster(spark):
+    part = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(41)]
+    rows = [(k, f"{part[k]} {part[k + 1]}") for k in range(40)] + [(40, f"{part[0]} {part[1]} end")]
+    links = shingle_join.candidates(shingle_join.described(frame(spark, rows), 4, 85, "doc_id", "text"), 85)
+    assert links.distinct().count() == 1  # the chain links each document with the next
+    got = {r.doc_id: r.component_id for r in shingle_join.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {k: k for k in range(40)} | {40: 0}
+
+
+def test_near_copies_of_one_text_are_copied_a_few_times(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK_DOCUMENTS", 4)
+    dealt, met = [], shingle_join.met
+    monkeypatch.setattr(shingle_join, "met", lambda sets, percent: dealt.append(sets.count()) or met(sets, percent))
+    base = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join([*base[:5 * i], f"x{i}", *base[5 * i + 1:]])) for i in range(64)]
+    got = {(r.doc_id, r.component_id) for r in shingle_join.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(i, 0) for i in range(64)}
+    assert dealt[0] == 64 and sum(dealt) <= 4 * 64  # once in every block but its own: 16 times
+
+
+def test_large_clusters_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK_DOCUMENTS", 4)
+    rng = random.Random(7)
+    rows = []
+    for length in (40, 90, 300):
+        base = [f"b{length}w{k}" for k in range(length)]
+        for _ in range(45):
+            w = base[:length - rng.randrange(length // 6)]
+            for _ in range(rng.randrange(1 + length // 45)):
+                w[rng.randrange(len(w))] = "X" + str(rng.randrange(99))
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    want = brute_components(rows, 4, 85)
+    assert 3 < len({c for _, c in want.values()}) < len(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.near_duplicates(frame(spark, rows, True)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_bitmaps_part_no_similar_sets(percent, monkeypatch):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for n in (3, 40, 130, 300, 2500):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in rng.uniform(0.3, 1, 30):
+            sets.append(np.unique(np.append(base[rng.random(n) < share], rng.integers(0, 1 << 63, int(n * rng.uniform(0, .3)),
+                                                                                      dtype=np.uint64))))
+    sets = sorted((x for x in sets if len(x)), key=len)
+    n = np.array([len(x) for x in sets])
+    width = shingle_join.bitmap_words(n, percent)
+    words = shingle_join.bitmaps(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), width)
+    maps = shingle_join.Bitmaps(n, words, np.cumsum(width) - width, width, percent)
+    x, y = np.triu_indices(len(sets), 1)
+    ok = maps.similar(x, y)
+    both = np.array([len(np.intersect1d(sets[a], sets[b], True)) for a, b in zip(x, y)])
+    similar = 100 * both >= percent * (n[x] + n[y] - both)
+    assert similar.any() and ok[similar].all() and ok[both == 0].mean() < 0.01
+
+    def joined(pairs):
+        return components_of(len(sets), [tuple(p) for p in np.concatenate(pairs).tolist()])
+    # lists longer than some are read another way, with the same result
+    toks = np.zeros(len(sets), np.uint64)
+    monkeypatch.setattr(shingle_join, "SHORT_LIST", 1)
+    long_ = joined(list(shingle_join.compatible(np.arange(len(sets)), toks, maps)))
+    monkeypatch.setattr(shingle_join, "SHORT_LIST", 1000)
+    assert long_ == joined(list(shingle_join.compatible(np.arange(len(sets)), toks, maps)))
+
+
+def components_of(n, pairs):
+    root = list(range(n))
+    for x, y in pairs:
+        a, b = sorted((root[x], root[y]))
+        root = [a if r == b else r for r in root]
+    return root
+
+
 def test_components_follow_paths(spark):
     links = [(i, i + 1) for i in range(9)] + [(20, 21), (22, 21), (5, 5)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
